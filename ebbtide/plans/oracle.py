@@ -44,6 +44,8 @@ short_log AS (
 activity AS (SELECT * FROM short_log WHERE {_IS_ACTIVITY})"""
 
 _SPACE = "' ' || chr(9)"
+_PARSED = (f"CASE WHEN ends_with({TIME}, '+02:00') THEN TRY_CAST(replace({TIME}, '+02:00', '') AS TIMESTAMP) - INTERVAL 2 HOUR "
+           f"ELSE TRY_CAST(replace({TIME}, 'Z', '') AS TIMESTAMP) END")
 
 _RAW = f"""
 untidy AS (
@@ -63,7 +65,7 @@ raw_log AS (
   FROM cells),
 clean AS (
   SELECT * FROM (
-    SELECT trim({ID}, {_SPACE}) AS {ID}, TRY_CAST({TIME} AS TIMESTAMP) AS {TIME},
+    SELECT trim({ID}, {_SPACE}) AS {ID}, {_PARSED} AS {TIME},
       lower(trim({KIND}, {_SPACE})) AS {KIND}, lower(trim(channel, {_SPACE})) AS channel, trim(shop, {_SPACE}) AS shop
     FROM raw_log)
   WHERE {ID} IS NOT NULL AND {TIME} IS NOT NULL AND {KIND} IS NOT NULL)"""
@@ -92,10 +94,10 @@ def _features(horizon: Horizon, full: bool) -> str:
     return f"""
 counted AS (
   SELECT s.snapshot_index, s.{SNAPSHOT}, e.{ID},
-    CAST(floor(epoch_us(s.{SNAPSHOT}) - epoch_us(max(e.{TIME}))) // 86400000000 AS INTEGER) AS recency_days,
+    CAST((epoch_us(s.{SNAPSHOT}) - epoch_us(max(e.{TIME}))) // 86400000000 AS INTEGER) AS recency_days,
     {", ".join(counted)}
   FROM snapshots s JOIN activity e ON e.{TIME} <= s.{SNAPSHOT}{oldest}
-  GROUP BY ALL),
+  GROUP BY s.snapshot_index, s.{SNAPSHOT}, e.{ID}),
 outcome AS (
   SELECT s.snapshot_index, e.{ID}, count(*) AS n_future
   FROM snapshots s JOIN activity e
@@ -245,7 +247,7 @@ def _strict() -> str:
 
     columns = ", ".join(words(c) for c in (ID, KIND, "channel", "shop"))
     return f"""WITH {_RAW}
-SELECT * FROM (SELECT {columns}, TRY_CAST({TIME} AS TIMESTAMP) AS {TIME} FROM raw_log)
+SELECT * FROM (SELECT {columns}, {_PARSED} AS {TIME} FROM raw_log)
 WHERE {ID} IS NOT NULL AND {TIME} IS NOT NULL AND {KIND} IS NOT NULL AND channel IS NOT NULL AND shop IS NOT NULL
   AND {TIME} <= TIMESTAMP '{RAW_AS_OF}'"""
 
