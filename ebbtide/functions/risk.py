@@ -1,4 +1,4 @@
-"""Scores, buckets and flags."""
+"""Risk buckets and action flags."""
 
 from __future__ import annotations
 
@@ -8,12 +8,6 @@ from pyspark.sql import functions as F
 from ebbtide.config import RISK, RiskLevels
 
 
-def finite_or_zero(value: Column) -> Column:
-    """Null, NaN and both infinities become zero."""
-    infinite = F.abs(value) == F.lit(float("inf"))
-    return F.when(value.isNull() | F.isnan(value) | infinite, F.lit(0.0)).otherwise(value)
-
-
 def bucket_by(probability: Column, medium: Column, high: Column, very_high: Column,
               levels: RiskLevels = RISK) -> Column:
     """Bucket name by lower bounds. Spark sorts NaN above all numbers, so it is sent to the last name."""

@@ -1,16 +1,17 @@
 """Customer features at one or many snapshot times, in one pass over the log.
 
-Three steps replace a scan, a join and a distinct count per window and snapshot:
-
-1. ``daily_counts``: rows are counted per customer and calendar date. This combines
-   before the shuffle, and a busy customer is spread over as many groups as dates.
-   A snapshot's 24-hour days end at its time of day, so a calendar date has two
-   parts of different age. They are counted side by side.
-2. The daily rows, a bounded number per customer, are brought together by customer.
-3. Each daily row is copied to the snapshots it can matter to (a handful, however
-   many snapshots there are) and summed per snapshot and customer. The rows already
-   lie together, so this step does not shuffle. A daily row is one date, so active
-   days are a plain sum.
+Four steps replace a scan, a join and a distinct count per window and snapshot:
+
+1. ``event_tallies``: rows are counted per customer, calendar date and kind. This
+   combines before the shuffle, its rows are narrow, and a busy customer is spread
+   over as many groups as they have dates and kinds. A snapshot's 24-hour days end at
+   its time of day, so a date has two parts of different age, which are kept apart.
+2. The tallies, a bounded number per customer, are brought together by customer.
+   Nothing after this step shuffles.
+3. ``daily_counts``: one wide row per customer and date.
+4. Each daily row is copied to the snapshots it can matter to (a handful, however many
+   snapshots there are) and summed per snapshot and customer. A daily row is one date,
+   so active days are a plain count of rows.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from ebbtide.functions.clock import age_days, day_offset, days, instant
 
 STEP = "snapshot_index"
 OFFSET = "day_offset"
+LATE = "is_late"
 EVERYTHING = "all"
 OLD_AGE = "old_age"
+RECENT_AGE = "recent_age"
 PARTS = ("late", "early")
 
 
@@ -58,31 +61,42 @@ def feature_names(horizon: Horizon = HORIZON, vocabulary: Vocabulary = VOCABULAR
     return names
 
 
-def daily_counts(log: DataFrame, anchor: datetime, horizon: Horizon = HORIZON,
-                 vocabulary: Vocabulary = VOCABULARY, fold_old: bool = False) -> DataFrame:
-    """Counts per customer and calendar date, split at the anchor's time of day.
+def event_tallies(log: DataFrame, anchor: datetime, horizon: Horizon = HORIZON,
+                  vocabulary: Vocabulary = VOCABULARY, fold_old: bool = False) -> DataFrame:
+    """Rows per customer, calendar date, part of the date and listed kind (null for other kinds).
 
-    The later part of date n is n-1 whole days old, the earlier part n. With ``fold_old``
-    everything beyond the lookback becomes one row, which keeps only the smallest age.
+    The part of a date after the anchor's time of day is one day younger than the part
+    before. With ``fold_old`` everything beyond the lookback becomes one row per customer,
+    as only its smallest age matters.
     """
-    age = age_days(F.col(TIME), anchor)
-    offset = day_offset(F.col(TIME), anchor)
-    old = age >= horizon.lookback if fold_old else F.lit(False)
     dated = log.select(
         ID,
-        F.col(KIND),
-        age.alias("age"),
-        F.when(~old, offset).alias(OFFSET),
+        F.when(F.col(KIND).isin(*vocabulary.listed), F.col(KIND)).alias(KIND),
+        age_days(F.col(TIME), anchor).alias("age"),
+        day_offset(F.col(TIME), anchor).alias(OFFSET),
     )
-    part_of = {"late": F.col("age") < F.col(OFFSET), "early": F.col("age") == F.col(OFFSET)}
-    tallies = [
-        F.count_if(chosen if kind == EVERYTHING else chosen & (F.col(KIND) == kind)).alias(f"{part}_{kind}")
-        for part, chosen in part_of.items()
-        for kind in (EVERYTHING, *vocabulary.listed)
-    ]
+    late = F.col("age") < F.col(OFFSET)
+    keys = {ID: F.col(ID), OFFSET: F.col(OFFSET), LATE: late, KIND: F.col(KIND)}
+    counted = [F.count("*").alias("n")]
     if fold_old:
-        tallies.append(F.min(F.when(F.col(OFFSET).isNull(), F.col("age"))).alias(OLD_AGE))
-    return dated.groupBy(ID, OFFSET).agg(*tallies)
+        recent = F.col("age") < horizon.lookback
+        keys = {k: c if k == ID else F.when(recent, c) for k, c in keys.items()}
+        counted.append(F.min("age").alias(OLD_AGE))
+    keyed = dated.select(*[c.alias(k) for k, c in keys.items()], "age")
+    return keyed.groupBy(*keys).agg(*counted)
+
+
+def daily_counts(tallies: DataFrame, vocabulary: Vocabulary = VOCABULARY) -> DataFrame:
+    """One row per customer and calendar date, with the counts of both parts of the date side by side."""
+    sums = []
+    for part, chosen in (("late", LATE), ("early", f"NOT {LATE}")):
+        sums.append(f"sum(if({chosen}, n, 0)) AS {part}_{EVERYTHING}")
+        sums += [
+            f"sum(if({chosen} AND {KIND} = '{kind}', n, 0)) AS `{part}_{kind}`" for kind in vocabulary.listed
+        ]
+    if OLD_AGE in tallies.columns:
+        sums.append(f"min(if({OFFSET} IS NULL, {OLD_AGE}, NULL)) AS {OLD_AGE}")
+    return tallies.groupBy(ID, OFFSET).agg(*[F.expr(text) for text in sums])
 
 
 def _steps_reached(horizon: Horizon, first_step: int, last_step: int) -> tuple[Column, Column]:
@@ -102,62 +116,56 @@ def _fan_out(daily: DataFrame, horizon: Horizon, first_step: int, last_step: int
 
 
 def _window_sums(horizon: Horizon, vocabulary: Vocabulary) -> list[Column]:
-    first_age = F.col(OFFSET) - F.col(STEP) * horizon.step
-    age = {"late": first_age - 1, "early": first_age}
+    """Sums over daily rows, which carry the ages ``late_age`` and ``early_age`` of their two parts.
 
-    def inside(part: str, low: int, high: int) -> Column:
-        return (age[part] >= low) & (age[part] < high)
+    Many columns of one shape: written as SQL text, which is one call each.
+    """
+    def inside(part: str, low: int, high: int) -> str:
+        return f"({part}_age >= {low} AND {part}_age < {high})"
 
-    def total(kind: str, low: int, high: int) -> Column:
-        summed = [F.when(inside(p, low, high), F.col(f"{p}_{kind}")).otherwise(F.lit(0)) for p in PARTS]
-        return F.sum(summed[0] + summed[1])
+    def seen(part: str, low: int, high: int) -> str:
+        return f"({inside(part, low, high)} AND {part}_{EVERYTHING} > 0)"
 
-    def seen(part: str, low: int, high: int) -> Column:
-        return inside(part, low, high) & (F.col(f"{part}_{EVERYTHING}") > 0)
+    def total(kind: str, low: int, high: int) -> str:
+        return "sum(" + " + ".join(f"if({inside(p, low, high)}, `{p}_{kind}`, 0)" for p in PARTS) + ")"
 
     sums = []
     for w in horizon.windows:
-        sums.append(total(EVERYTHING, 0, w).alias(f"n_events_last_{w}d"))
-        sums.append(F.count_if(seen("late", 0, w) | seen("early", 0, w)).alias(f"active_days_last_{w}d"))
-        sums += [total(kind, 0, w).alias(count_column(kind, w)) for kind in vocabulary.listed]
-    sums.append(total(EVERYTHING, -horizon.outcome, 0).alias(horizon.future_count))
-    nearest = F.when(seen("late", 0, horizon.lookback), age["late"]).when(
-        seen("early", 0, horizon.lookback), age["early"]
-    )
-    sums.append(F.min(nearest).alias("recent_age"))
-    return sums
+        sums.append(f"{total(EVERYTHING, 0, w)} AS n_events_last_{w}d")
+        sums.append(f"count(if({seen('late', 0, w)} OR {seen('early', 0, w)}, 1, NULL)) AS active_days_last_{w}d")
+        sums += [f"{total(kind, 0, w)} AS `{count_column(kind, w)}`" for kind in vocabulary.listed]
+    sums.append(f"{total(EVERYTHING, -horizon.outcome, 0)} AS {horizon.future_count}")
+    nearest = " ".join(f"WHEN {seen(p, 0, horizon.lookback)} THEN {p}_age" for p in PARTS)
+    sums.append(f"min(CASE {nearest} END) AS {RECENT_AGE}")
+    return [F.expr(text) for text in sums]
 
 
 def with_derived(counted: DataFrame, horizon: Horizon = HORIZON, vocabulary: Vocabulary = VOCABULARY) -> DataFrame:
     """Add trends, ratios and flags. All counts are present, and no divisor can be zero."""
     first, second, third = horizon.windows
+    n = {w: f"n_events_last_{w}d" for w in horizon.windows}
+    active = f"active_days_last_{first}d"
 
-    def n(w: int) -> Column:
-        return F.col(f"n_events_last_{w}d")
-
-    def cnt(kind: str) -> Column:
-        return F.col(count_column(kind, first))
+    def cnt(*kinds: str) -> str:
+        return "(" + " + ".join(f"`{count_column(kind, first)}`" for kind in kinds) + ")"
 
-    sessions = sum((cnt(kind) for kind in vocabulary.sessions), F.lit(0).cast("bigint"))
-    email = cnt(vocabulary.opened) + cnt(vocabulary.clicked)
-    active = F.col(f"active_days_last_{first}d")
-    recency = F.col("recency_days")
+    sessions = cnt(*vocabulary.sessions) if vocabulary.sessions else "0L"
+    email = cnt(vocabulary.opened, vocabulary.clicked)
     derived = {
-        f"freq_trend_{first}_{second}": n(first) / (n(second) + 1),
-        f"freq_trend_{second}_{third}": n(second) / (n(third) + 1),
-        f"active_ratio_{first}d": active / F.lit(first),
-        "has_any_activity_hist": F.col("has_history").cast("int"),
+        f"freq_trend_{first}_{second}": f"{n[first]} / ({n[second]} + 1)",
+        f"freq_trend_{second}_{third}": f"{n[second]} / ({n[third]} + 1)",
+        f"active_ratio_{first}d": f"{active} / {first}",
+        "has_any_activity_hist": "int(has_history)",
         f"n_session_events_last_{first}d": sessions,
         f"n_email_engagement_last_{first}d": email,
         f"n_orders_last_{first}d": cnt(vocabulary.ordered),
-        f"session_share_{first}d": sessions / (n(first) + 1),
-        f"email_share_{first}d": email / (n(first) + 1),
-        f"events_per_active_day_{first}d": n(first) / (active + 1),
-        f"click_to_open_{first}d": cnt(vocabulary.clicked) / (cnt(vocabulary.opened) + 1),
+        f"session_share_{first}d": f"{sessions} / ({n[first]} + 1)",
+        f"email_share_{first}d": f"{email} / ({n[first]} + 1)",
+        f"events_per_active_day_{first}d": f"{n[first]} / ({active} + 1)",
+        f"click_to_open_{first}d": f"{cnt(vocabulary.clicked)} / ({cnt(vocabulary.opened)} + 1)",
+        **{f"inactive_{limit}d": f"int(recency_days > {limit})" for limit in horizon.inactive_flags},
     }
-    for limit in horizon.inactive_flags:
-        derived[f"inactive_{limit}d"] = (recency > limit).cast("int")
-    return counted.withColumns(derived)
+    return counted.withColumns({name: F.expr(text) for name, text in derived.items()})
 
 
 def snapshot_features(
@@ -168,7 +176,6 @@ def snapshot_features(
     first_step: int = 0,
     last_step: int = 0,
     history: str = "lookback",
-    derive: bool = True,
 ) -> DataFrame:
     """Features and outcome of every customer at the snapshots ``anchor - k * step``.
 
@@ -190,29 +197,30 @@ def snapshot_features(
     oldest = instant(anchor) - days(last_step * horizon.step + horizon.lookback)
     relevant = log.filter(time <= newest) if full else log.filter((time > oldest) & (time <= newest))
 
-    daily = daily_counts(relevant, anchor, horizon, vocabulary, fold_old=full).repartition(ID)
+    tallies = event_tallies(relevant, anchor, horizon, vocabulary, fold_old=full)
+    daily = daily_counts(tallies.repartition(ID), vocabulary)
     if full:
         spread = daily.withColumn(STEP, F.lit(0))
     else:
         spread = _fan_out(daily, horizon, first_step, last_step)
 
+    early_age = F.col(OFFSET) - F.col(STEP) * horizon.step
+    aged = spread.withColumns({"late_age": early_age - 1, "early_age": early_age})
     sums = _window_sums(horizon, vocabulary)
     if full:
         sums.append(F.min(OLD_AGE).alias(OLD_AGE))
-    counted = spread.groupBy(STEP, ID).agg(*sums)
-    age = F.coalesce(F.col("recent_age"), F.col(OLD_AGE)) if full else F.col("recent_age")
+    counted = aged.groupBy(STEP, ID).agg(*sums)
+    age = F.coalesce(F.col(RECENT_AGE), F.col(OLD_AGE)) if full else F.col(RECENT_AGE)
     counted = counted.withColumns({
         "recency_days": F.coalesce(age, F.lit(RECENCY_UNKNOWN)).cast("int"),
         "has_history": age.isNotNull(),
     }).filter("has_history")
 
-    features = with_derived(counted, horizon, vocabulary) if derive else counted
-    kept = [c for c in feature_names(horizon, vocabulary) if c in features.columns]
-    return features.select(
+    return with_derived(counted, horizon, vocabulary).select(
         ID,
         STEP,
         (instant(anchor) - days(F.col(STEP) * horizon.step)).alias(SNAPSHOT),
-        *kept,
+        *feature_names(horizon, vocabulary),
         horizon.future_count,
         (F.col(horizon.future_count) == 0).cast("int").alias(horizon.target),
     )

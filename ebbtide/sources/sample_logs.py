@@ -22,14 +22,11 @@ def long_log(spark: SparkSession, folder: str) -> DataFrame:
     placed = orders.filter(F.col("o_orderstatus") != "P").select(
         F.col("o_custkey").cast("string").alias(ID), F.col("o_orderdate").alias(TIME), F.lit("order").alias(KIND)
     )
-    code = F.concat("l_returnflag", "l_linestatus")
+    flag, shipped = F.col("l_returnflag"), F.col("l_linestatus") == "O"
     kind = (
-        F.when(code == "NO", "emarsys_open")
-        .when(code == "NF", "emarsys_click")
-        .when(code == "AO", "emarsys_sessions_view")
-        .when(code == "AF", "emarsys_sessions_cart_update")
-        .when(code == "RO", "emarsys_soft_bounce")
-        .when(code == "RF", "emarsys_sessions_unlisted")
+        F.when(flag == "N", F.when(shipped, "emarsys_open").otherwise("emarsys_click"))
+        .when(flag == "A", F.when(shipped, "emarsys_sessions_view").otherwise("emarsys_sessions_cart_update"))
+        .when(flag == "R", F.when(shipped, "emarsys_soft_bounce").otherwise("emarsys_sessions_unlisted"))
     )
     lines = table(spark, folder, "lineitem").select("l_orderkey", F.col("l_shipdate").alias(TIME), kind.alias(KIND))
     owners = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("string").alias(ID))
