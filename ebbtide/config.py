@@ -148,8 +148,8 @@ class LinearSettings:
 
     # Training parameters.
     penalty: float = 1e-4
-    max_iterations: int = 200
-    tolerance: float = 1e-6
+    max_iterations: int = 100
+    tolerance: float = 1e-5
     folds: int = 3
 
 

@@ -99,6 +99,16 @@ def daily_counts(tallies: DataFrame, vocabulary: Vocabulary = VOCABULARY) -> Dat
     return tallies.groupBy(ID, OFFSET).agg(*[F.expr(text) for text in sums])
 
 
+def _by_customer(tallies: DataFrame) -> DataFrame:
+    """Bring customers together in as many partitions as the session's shuffles have.
+
+    The number is given, so that the adaptive planner does not merge them: narrow rows
+    come in, but each becomes several wide rows later in the same task.
+    """
+    partitions = int(tallies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tallies.repartition(partitions, ID)
+
+
 def _steps_reached(horizon: Horizon, first_step: int, last_step: int) -> tuple[Column, Column]:
     """First and last snapshot index for which a daily row lies in the lookback or the outcome window."""
     def floor_div(value: Column, by: int) -> Column:
@@ -198,7 +208,7 @@ def snapshot_features(
     relevant = log.filter(time <= newest) if full else log.filter((time > oldest) & (time <= newest))
 
     tallies = event_tallies(relevant, anchor, horizon, vocabulary, fold_old=full)
-    daily = daily_counts(tallies.repartition(ID), vocabulary)
+    daily = daily_counts(_by_customer(tallies), vocabulary)
     if full:
         spread = daily.withColumn(STEP, F.lit(0))
     else:
