@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.config import (
-    BUCKET, EVALUATED_SNAPSHOTS, HORIZON, ID, KIND, PROBABILITY, SNAPSHOT, BoostedSettings, Horizon,
+    BUCKET, EVALUATED_SNAPSHOTS, HORIZON, ID, KIND, PROBABILITY, SNAPSHOT, BoostedSettings, Horizon, LinearSettings,
 )
 from ebbtide.models.importance import boosted_importance, linear_importance
 from ebbtide.operators import features as feat
@@ -39,6 +39,7 @@ SAMPLE = 100
 EXTRACT_AS_OF = date(2001, 8, 1)
 # Fitting in a query is kept short; the defaults of the library are longer.
 QUICK = BoostedSettings(rounds=10, depth=4)
+QUICK_LINEAR = LinearSettings(max_iterations=25)
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -381,13 +382,13 @@ def boosted_feature_importance(spark: SparkSession, folder: str) -> DataFrame:
 @registered("linear_calibrated_scores")
 def linear_calibrated_scores(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    return training.train_linear(data).predict(data.test, [ID, HORIZON.target])
+    return training.train_linear(data, QUICK_LINEAR).predict(data.test, [ID, HORIZON.target])
 
 
 @registered("linear_importance")
 def linear_feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    return linear_importance(spark, training.train_linear(data))
+    return linear_importance(spark, training.train_linear(data, QUICK_LINEAR))
 
 
 @registered("gbt_rolling_eval")
