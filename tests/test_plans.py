@@ -73,14 +73,6 @@ def test_activity_filter_reaches_the_scan(spark, tmp_path):
     assert "StringStartsWith(interaction_type,emarsys_sessions_)" in pushed and "In(interaction_type" in pushed
 
 
-def test_no_query_runs_python_per_row(spark):
-    fitted = {"gbt_scores", "gbt_importance", "gbt_rolling_eval", "linear_calibrated_scores", "linear_importance"}
-    for name, query in queries.all_queries().items():
-        if name not in fitted:
-            plan = plan_of(query(spark, SMALL))
-            assert not re.search(r"EvalPython|InPandas|CartesianProduct|NestedLoop", plan), name
-
-
 def test_months_are_split_by_size(stored, spark):
     dated = activity_filter(logs.long_log(spark, SMALL))
     from ebbtide.operators.activity import with_month
