@@ -39,9 +39,7 @@ def _utc_clock(moment: Column) -> Column:
 def parse_utc(text: Column) -> Column:
     """ISO text to an instant; null where the text is no time. A zone in the text is honoured."""
     has_zone = text.rlike(r":\d{2}(\.\d+)?\s*[A-Za-z+\-]")
-    return F.when(has_zone, _utc_clock(text.try_cast("timestamp"))).otherwise(
-        text.try_cast("timestamp_ntz")
-    )
+    return F.when(has_zone, _utc_clock(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def as_instant(column: Column, kind: T.DataType) -> Column:

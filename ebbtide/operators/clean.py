@@ -49,8 +49,13 @@ def require_columns(df: DataFrame, names: tuple[str, ...], what: str = "input")
 
 
 def csv_missing_to_null(raw: DataFrame) -> DataFrame:
-    """Cells that say 'no value' exactly; padded ones are left to the cleaning profile."""
-    return raw.select(*[blank_words_to_null(F.col(c), CSV_MISSING).alias(c) for c in raw.columns])
+    """Cells that say 'no value' exactly; padded ones are left to the cleaning profile.
+
+    The time column is passed as it is: none of these words is a time.
+    """
+    return raw.select(*[
+        F.col(c) if c.lower() == TIME else blank_words_to_null(F.col(c), CSV_MISSING).alias(c) for c in raw.columns
+    ])
 
 
 def clean_events(raw: DataFrame, profile: CleaningProfile = LENIENT, as_of: datetime | None = None) -> DataFrame:
@@ -82,7 +87,11 @@ def clean_events(raw: DataFrame, profile: CleaningProfile = LENIENT, as_of: date
             column = blank_words_to_null(column, profile.blank_words)
         return column.alias(name)
 
-    cleaned = raw.select(*[tidy(c) for c in names]).dropna(subset=list(profile.required))
+    # Tidying never turns a text into null unless blank words do. Rows without a text go
+    # before it, as a test on tidied columns would make the optimiser tidy them twice.
+    complete = raw.dropna(subset=[c for c in profile.required if c != TIME])
+    late_test = list(profile.required) if profile.blank_words else [TIME]
+    cleaned = complete.select(*[tidy(c) for c in names]).dropna(subset=late_test)
     if profile.drop_future:
         limit = instant(as_of) if as_of else as_instant(F.current_timestamp(), TimestampType())
         cleaned = cleaned.filter(F.col(TIME) <= limit)

@@ -59,7 +59,7 @@ def raw_text_log(spark: SparkSession, folder: str) -> DataFrame:
     """The short log as untidy text, as a CSV file would hold it; the last digit of the event id picks the flaw."""
     flaw = F.pmod("event_id", F.lit(10))
     user = F.col("user_id").cast("string")
-    text_time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    text_time = F.col("ts").cast("string")
     return table(spark, folder, "events").select(
         F.when(flaw == 1, " ").when(flaw == 2, "null").when(flaw == 3, " None").when(flaw == 4, F.concat(F.lit("\t U"), user))
         .otherwise(user).alias(ID),
