@@ -43,5 +43,6 @@ def extract_recent(table: DataFrame, direction_column: str, as_of: date | None =
                    months: int = EXTRACT_MONTHS, direction: str = EXTRACT_DIRECTION) -> DataFrame:
     """Rows of one direction from the last months. Both tests reach the source."""
     today = F.lit(as_of) if as_of else F.current_date()
-    start = F.add_months(today, -months).cast("timestamp_ntz")
+    # Of the type of the stored column, so that it is the literal that is converted.
+    start = F.add_months(today, -months).cast(table.schema[TIME].dataType)
     return table.filter((F.col(TIME) >= start) & (F.col(direction_column) == direction))

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.config import BUCKET, HORIZON, ID, PERCENTILE_BOUNDS, PROBABILITY, RISK, SNAPSHOT, Horizon, RiskLevels
+from ebbtide.config import HORIZON, ID, PERCENTILE_BOUNDS, PROBABILITY, RISK, SNAPSHOT, Horizon, RiskLevels
 from ebbtide.functions.clock import instant
 from ebbtide.functions.risk import bucket_by
 from ebbtide.models.risk_model import RiskModel

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.config import DAY, HORIZON, ID, KIND, MONTH, REQUIRED, TIME, Horizon
+from ebbtide.config import DAY, ID, KIND, MONTH, REQUIRED, TIME
 from ebbtide.functions.clock import as_instant, moment_like, utc_naive
 from ebbtide.operators.activity import with_month
 from ebbtide.sources.readers import path_exists
@@ -73,8 +73,3 @@ def load_events(spark: SparkSession, dataset: str, start: datetime, end: datetim
     if single_file and path_exists(spark, single_file):
         return window_of(spark.read.parquet(single_file), start, end)
     raise FileNotFoundError(f"no activity data: neither {dataset} nor {single_file} exists")
-
-
-def snapshot_window(snapshot: datetime, horizon: Horizon = HORIZON) -> tuple[datetime, datetime]:
-    """The time span a labelled snapshot needs."""
-    return snapshot - timedelta(days=horizon.lookback), snapshot + timedelta(days=horizon.outcome)

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.config import BUCKET, HORIZON, ID, KIND, PROBABILITY, TIME, Horizon
+from ebbtide.config import BUCKET, EARLIER_POOL_SIZE, HORIZON, ID, KIND, PROBABILITY, TIME, Horizon
 from ebbtide.functions.clock import age_days, as_instant, instant
 from ebbtide.functions.text import WHITE_SPACE, strip
 from ebbtide.operators.activity import activity_filter
@@ -193,7 +193,7 @@ def test_calendar_of_the_published_run():
                                 datetime(2026, 1, 31, 2, 59, 54, tzinfo=timezone.utc))
     assert calendar.anchor == datetime(2026, 1, 1, 2, 59, 54)
     assert calendar.pooled == 32
-    assert calendar_between(calendar.first_event, calendar.last_event, limit=4).pooled == 4
+    assert calendar_between(calendar.first_event, calendar.last_event, limit=EARLIER_POOL_SIZE).pooled == 4
     assert calendar_between(T, T + 100 * DAY).pooled == 0
 
 

@@ -17,7 +17,7 @@ from ebbtide.plans.queries import SHORT
 from ebbtide.sources import sample_logs as logs
 from ebbtide.sources import sinks
 from ebbtide.sources.activity_store import load_events, months_between, write_by_month
-from ebbtide.sources.readers import load_table, path_exists, read_feature_list, read_raw_csv, require_path
+from ebbtide.sources.readers import load_table, month_predicates, path_exists, read_feature_list, read_raw_csv, require_path
 
 START, END = datetime(2000, 3, 15, 6), datetime(2000, 5, 2)
 
@@ -47,6 +47,11 @@ def test_month_list():
     assert months_between(START, START) == ["2000-03"]
 
 
+def test_warehouse_reads_are_split_by_month():
+    assert month_predicates("t", ["2023-12", "2024-01"]) == [
+        "t >= '2023-12-01' AND t < '2024-01-01'", "t >= '2024-01-01' AND t < '2024-02-01'"]
+
+
 def test_monthly_dataset_holds_every_row(spark, activity, dataset):
     stored = spark.read.parquet(dataset)
     assert rows_of(stored) == rows_of(activity)
