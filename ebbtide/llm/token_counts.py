@@ -9,6 +9,7 @@ its own counts, and only summaries are added up. The tables decide what is looke
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -34,6 +35,8 @@ class Lengths(dict):
     """Numbers of tokens by run; ``frequent`` stays, the rest is a cache that starts anew when it is full."""
 
     def __init__(self, path: str, frequent: dict[bytes, int], room: int = CACHE_ENTRIES):
+        # Spark runs a worker on each core; threads inside a worker would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         super().__init__(frequent)
@@ -41,31 +44,38 @@ class Lengths(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.marks = dict(zip(_MARKS, self.encode(list(_MARKS))))
 
     def encode(self, runs: list[bytes]) -> list[int]:
         texts = [r.decode("utf-8", "replace") for r in runs]
-        return [len(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, runs: Iterable[bytes]) -> None:
-        if len(self) > self.room + len(self.frequent):
-            self.clear()
-            self.update(self.frequent)
+    def learn(self, runs: set[bytes]) -> None:
         missed = [r for r in runs if r not in self]
-        stems = {r[:-1] for r in missed if r.endswith(_MARKS) and r[:-1].isalpha()}
-        whole = list({*stems, *(r for r in missed if not (r.endswith(_MARKS) and r[:-1].isalpha()))} - self.keys())
-        marks = dict(zip(_MARKS, self.encode(list(_MARKS))))
+        marked = [r for r in missed if r.endswith(_MARKS) and r[:-1].isalpha()]
+        whole = list({r for r in (*missed, *(r[:-1] for r in marked)) if r not in self}.difference(marked))
         self.update(zip(whole, self.encode(whole)))
-        for run in missed:
-            if run not in self:
-                self[run] = self[run[:-1]] + marks[run[-1:]]
+        for run in marked:
+            self[run] = self[run[:-1]] + self.marks[run[-1:]]
 
-    def count(self, text: bytes) -> int:
-        runs = text.split()  # bytes: at ASCII white space only
-        try:
-            return sum(map(self.__getitem__, runs))
-        except KeyError:
-            self.learn(set(runs))
-            return sum(map(self.__getitem__, runs))
+    def count_all(self, texts: list[bytes]) -> list[int]:
+        """The numbers of tokens of a batch of texts; what the table lacks is encoded together."""
+        if len(self) > self.room + len(self.frequent):
+            self.clear()
+            self.update(self.frequent)
+        counts: list[int | None] = []
+        missed: set[bytes] = set()
+        for text in texts:
+            runs = text.split()  # bytes: at ASCII white space only
+            try:
+                counts.append(sum(map(self.__getitem__, runs)))
+            except KeyError:
+                counts.append(None)
+                missed.update(r for r in runs if r not in self)
+        if missed:
+            self.learn(missed)
+            counts = [sum(map(self.__getitem__, t.split())) if n is None else n for n, t in zip(counts, texts)]
+        return counts
 
 
 _workers: dict[tuple, Lengths] = {}
@@ -118,7 +128,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, most_frequent:
     def count(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lengths = _worker(path, version, table.value)
         for part in parts:
-            yield pa.array([lengths.count(t) for t in part.to_pylist()], pa.int64())
+            yield pa.array(lengths.count_all(part.to_pylist()), pa.int64())
 
     base = docs.drop("n_bytes", "n_tokens", "over_limit")
     text = text_or_empty()
