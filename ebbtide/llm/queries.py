@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import chat, exact_dedup, line_dedup, mixing, token_counts, url_filter
+from ebbtide.llm import chat, exact_dedup, line_dedup, mixing, token_counts, toxicity, url_filter
 from ebbtide.llm.common import stored, table, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,15 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@registered
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, folder, "labels").select("doc_id", "toxic"))
+    held_out = toxicity.fold_of(F.col("doc_id")) == 0
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", F.size("toxic_spans").alias("n_spans"))
+
+
 @registered
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
