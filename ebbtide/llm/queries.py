@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import chat, exact_dedup, line_dedup, mixing, token_counts, toxicity, url_filter
+from ebbtide.llm import chat, decontamination, exact_dedup, line_dedup, mixing, token_counts, toxicity, url_filter
 from ebbtide.llm.common import stored, table, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,12 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@registered
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontamination.benchmark_leaks(docs, table(spark, folder, "benchmark"))
+
+
 @registered
 def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """The table has the layout of turns; conversation -7 comes as a prompt and its completion."""
