@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import chat, decontamination, exact_dedup, line_dedup, mixing, token_counts, toxicity, url_filter
+from ebbtide.llm import chat, decontamination, exact_dedup, jaccard_join, line_dedup, mixing, token_counts, toxicity, url_filter
 from ebbtide.llm.common import stored, table, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,13 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", _hex(F.col("digest")).alias("text_sha256"))
 
 
+@registered
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document: its class, the rows with an equal set, and its links."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard_join.with_classes(*jaccard_join.similarity_classes(docs)).select("doc_id", "class_id", "copies", "n_links")
+
+
 @registered
 def op9_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     """Outcomes of pages are the labels with the same id: bad is of low quality or toxic."""
