@@ -20,6 +20,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import BooleanType
 
 from ebbtide.llm.common import arrow_limits, text_or_empty
 
@@ -190,6 +192,36 @@ def leaks_of(text: bytes, bench: Benchmark, templates: Templates, share: float,
     return found
 
 
+def _build_sides(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator:
+    """The benchmark in broadcast blocks of about ``block_bytes`` of text."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
+    blocks = max(1, -(-total // block_bytes))
+    for block in range(blocks):
+        part = items.where(F.expr(f"pmod(xxhash64(item_id, text), {blocks})") == block) if blocks > 1 else items
+        yield spark.sparkContext.broadcast(Benchmark([tuple(r) for r in part.collect()], window))
+
+
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = LEAST_SHARE, long_run: int = LONG_RUN,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` in which ``benchmark_leaks`` finds no item; each row is judged by its own text."""
+    arrow_limits(docs.sparkSession)
+    clean = docs
+    for sent in _build_sides(benchmark, window, block_bytes):
+
+        @arrow_udf(BooleanType())
+        def free(parts: Iterator[pa.Array], sent=sent) -> Iterator[pa.Array]:
+            templates, bench = Templates(), sent.value
+            for part in parts:
+                yield pa.array([not leaks_of(t, bench, templates, share, long_run) for t in part.to_pylist()], pa.bool_())
+
+        clean = clean.where(free(text_or_empty().cast("binary")))
+    return clean
+
+
 _LEAKS = "doc_id long, item_id long, words_found long, share double, kind string, start long, end long"
 
 
@@ -203,16 +235,10 @@ def benchmark_leaks(
     at least ``share`` of its words or ``long_run`` words are covered. Windows with more placeholders than words are not used.
     Null texts hold nothing, as documents and as items; repeated rows are searched each, repeated items are found each.
     """
-    spark = docs.sparkSession
-    arrow_limits(spark)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
-    blocks = max(1, -(-total // block_bytes))
+    arrow_limits(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("t"))
     found = None
-    for block in range(blocks):
-        part = items.where(F.expr(f"pmod(xxhash64(item_id, text), {blocks})") == block) if blocks > 1 else items
-        sent = spark.sparkContext.broadcast(Benchmark([tuple(r) for r in part.collect()], window))  # about block_bytes of items
+    for sent in _build_sides(benchmark, window, block_bytes):
 
         def probe(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             templates, bench = Templates(), sent.value

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import chat, decontamination, exact_dedup, jaccard_join, line_dedup, mixing, token_counts, toxicity, url_filter
+from ebbtide.llm import chat, decontamination, exact_dedup, jaccard_join, line_dedup, mixing, personal_data, token_counts, toxicity, url_filter
 from ebbtide.llm.common import stored, table, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,17 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.benchmark_leaks(docs, table(spark, folder, "benchmark"))
 
 
+@registered
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data.personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+    kinds = {k: k for k in personal_data.KINDS}
+    return found.select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in kinds],
+        F.sha2(personal_data.span_text(kinds), 256).alias("base_sha256"),
+        personal_data.span_text({**kinds, "term": "term"}).alias("spans"), F.size("term").cast("long").alias("n_term"),
+    )
+
+
 @registered
 def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """The table has the layout of turns; conversation -7 comes as a prompt and its completion."""
