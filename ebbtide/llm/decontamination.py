@@ -13,11 +13,12 @@ benchmark of any size is joined whole. Documents are neither shuffled nor joined
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -203,6 +204,16 @@ def _build_sides(benchmark: DataFrame, window: int, block_bytes: int) -> Iterato
         yield spark.sparkContext.broadcast(Benchmark([tuple(r) for r in part.collect()], window))
 
 
+def _free_of(sent: Broadcast, share: float, long_run: int) -> Callable:
+    @arrow_udf(BooleanType())
+    def free(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        templates, bench = Templates(), sent.value
+        for part in parts:
+            yield pa.array([not leaks_of(t, bench, templates, share, long_run) for t in part.to_pylist()], pa.bool_())
+
+    return free
+
+
 def without_leaks(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = LEAST_SHARE, long_run: int = LONG_RUN,
     block_bytes: int = BLOCK_BYTES,
@@ -211,14 +222,7 @@ def without_leaks(
     arrow_limits(docs.sparkSession)
     clean = docs
     for sent in _build_sides(benchmark, window, block_bytes):
-
-        @arrow_udf(BooleanType())
-        def free(parts: Iterator[pa.Array], sent=sent) -> Iterator[pa.Array]:
-            templates, bench = Templates(), sent.value
-            for part in parts:
-                yield pa.array([not leaks_of(t, bench, templates, share, long_run) for t in part.to_pylist()], pa.bool_())
-
-        clean = clean.where(free(text_or_empty().cast("binary")))
+        clean = clean.where(_free_of(sent, share, long_run)(text_or_empty().cast("binary")))
     return clean
 
 
