@@ -3,7 +3,7 @@
 Every document of a source expects the same number of copies, target over size. The prefix sum of these numbers over
 the source, plus one random offset of the source, is cut at the integers: a document is taken once per integer that its stretch holds.
 Documents are put in order by size, so the sample has small and large ones in proportion. Within a source the
-prefix sum is made in two steps, over blocks of about a million rows and within each of them, so a source with a third of
+prefix sum is made in two steps, over blocks of some ten thousand rows and within each of them, so a source with a third of
 all rows is not one task.
 """
 
@@ -17,7 +17,7 @@ from ebbtide.llm.common import join_hot, stored, text_or_empty
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 SEED = "mix-1"
-BLOCK_ROWS = 1 << 20
+BLOCK_ROWS = 1 << 14
 
 
 def word_count(text: Column) -> Column:
