@@ -30,9 +30,9 @@ from ebbtide.llm.common import arrow_limits, join_hot, stored, text_or_empty
 
 WORDS = 5
 THRESHOLD = 0.8
-RECALL = 0.99
-LEVELS = 4
-SMALL = 64
+RECALL = 0.9999
+LEVELS = 3
+SMALL = 128
 BLOCK = 512
 HASHES = 64
 #: Equal sketch places, of HASHES, from which a pair is looked at: four deviations below the mean at the threshold.
