@@ -31,6 +31,7 @@ MOST_TERMS = 4_096
 PREFIXES = (4, 5, 6)
 LEAST_TOXIC_DOCS = 5
 LEAST_Z = 5.0
+CLEAN_BEFORE = 20
 #: Lower bounds, in log odds, of the grades 1, 2, ... of evidence.
 GRADES = (1.0, 2.0, 3.0, 4.0, 6.0)
 NEAR = 3
@@ -344,7 +345,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
     theta = fit_field(Sample(rows)) if terms else np.zeros(_N)
     tagger = Tagger(theta)
     x = np.array([summary(n, tagger.marginals(n, np.array(at, np.int64), np.array(codes, np.int64))) for n, at, codes, _ in rows])
-    return ToxicityModel(terms, theta, fit_logistic(x, np.array([r[3] for r in rows], float)))
+    # A few clean texts without evidence beside the labelled ones: a handful of toxic labels must not condemn all texts.
+    x = np.vstack([x, np.tile(summary(100, []), (CLEAN_BEFORE, 1))])
+    y = np.array([r[3] for r in rows] + [0] * CLEAN_BEFORE, float)
+    return ToxicityModel(terms, theta, fit_logistic(x, y))
 
 
 def _spans(text: bytes, at: np.ndarray, marginals: list[float]) -> list[dict]:

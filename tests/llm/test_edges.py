@@ -1,0 +1,168 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns, for each operator and stage."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from ebbtide.llm import (
+    chat, decontamination, exact_dedup, jaccard_join, line_dedup, mixing, personal_data, token_counts, toxicity, url_filter,
+)
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+LINE = "This line is shared by many documents and it is long enough to count"
+ROWS = [
+    (1, None, None, None, None), (2, "", "en", "a", 0), (None, "no id at all", "en", "a", 3), (4, "word " * 60_000, "en", "b", 5),
+    (5, "same text here for two rows of it", "en", "a", 1), (6, "Same text here for two rows of it", "en", "a", 1),
+    (6, "Same text here for two rows of it", "en", "a", 1), (None, None, None, None, None),
+    *[(10 + i, f"own words {i}\n {LINE.upper()}\t\nmore", "en", "c", 9) for i in range(6)], (15, f"again {LINE}\n{LINE}", "en", None, 2),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    at = str(tmp_path_factory.mktemp("tables"))
+    spark.createDataFrame(ROWS, SCHEMA).write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame([(5, 1, 1), (4, 1, 0), (5, 1, 0), (None, 0, 1), (10, None, None)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{at}/labels.parquet"
+    )
+    spark.createDataFrame([(1, None), (2, ""), (3, "a b"), (4, "own words 3 that are not there")], "item_id long, text string").write.parquet(
+        f"{at}/benchmark.parquet"
+    )
+    return at
+
+
+def _path():
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def _model(docs):
+    labels = docs.select("doc_id", F.lit(0).alias("toxic"))
+    return toxicity.fit_toxicity(docs, labels)
+
+
+OPERATORS = {
+    "tokens": lambda d: token_counts.token_counts(d, _path()),
+    "leaks": lambda d: decontamination.without_leaks(d, d.select(F.col("doc_id").alias("item_id"), F.lit(None).cast("string").alias("text"))),
+    "personal": personal_data.personal_data,
+    "toxicity": lambda d: toxicity.score_toxicity(d, _model(d)),
+    "lines": line_dedup.line_dedup,
+    "exact": exact_dedup.exact_dedup,
+    "similar": jaccard_join.jaccard_join,
+    "mix": mixing.mix,
+}
+
+
+@pytest.mark.parametrize("name", list(OPERATORS))
+def test_every_row_comes_back_once_with_its_columns(docs, name):
+    out = OPERATORS[name](docs)
+    assert set(docs.columns) <= set(out.columns)
+    assert sorted(map(str, (r.doc_id for r in out.collect()))) == sorted(str(r[0]) for r in ROWS)
+
+
+@pytest.mark.parametrize("name", list(OPERATORS))
+def test_empty_tables_and_clashing_columns(spark, docs, name):
+    assert OPERATORS[name](docs.limit(0)).collect() == []
+    added = [c for c in OPERATORS[name](docs.limit(0)).columns if c not in docs.columns]
+    clashing = docs.limit(3)
+    for c in [*added, "_row", "n", "key", "run", "sid"]:
+        clashing = clashing.withColumn(c, F.lit("theirs"))
+    out = OPERATORS[name](clashing)
+    assert out.count() == 3 and len(out.columns) == len(set(out.columns))
+    assert {r["key"] for r in out.collect()} == {"theirs"}
+
+
+def test_lines_ties_and_missing_ids(docs):
+    rows = line_dedup.line_dedup(docs).collect()
+    by_id = {}
+    for r in rows:
+        by_id.setdefault(r.doc_id, []).append(r)
+    assert [(r.n_lines, r.n_dropped) for r in by_id[10]] == [(3, 1)] and by_id[10][0].text == "own words 0\nmore"
+    # The largest id keeps the line in all rows that repeat it.
+    assert sorted((r.n_lines, r.n_dropped) for r in by_id[15]) == [(2, 0), (3, 0)]
+    assert by_id[1][0].text == "" and by_id[1][0].n_lines == 1
+
+
+def test_exact_ties_and_missing_ids(docs):
+    rows = [r for r in exact_dedup.exact_dedup(docs).collect()]
+    same = [r for r in rows if r.doc_id in (5, 6)]
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in same} == {(5, 6, 3, False), (6, 6, 3, True)} and len(same) == 3
+    empty = [r for r in rows if not r.text]
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in empty} == {(1, 2, 3, False), (2, 2, 3, True), (None, 2, 3, False)}
+
+
+def test_similar_rows_and_rows_without_words(docs):
+    rows = jaccard_join.jaccard_join(docs).collect()
+    assert {(r.doc_id, r.class_id, r.n_links) for r in rows if r.doc_id in (5, 6)} == {(5, 5, 2), (6, 5, 2)}
+    assert all(r.n_links == 0 and r.class_id == r.doc_id for r in rows if not r.text)
+
+
+def test_mix_is_the_same_again_and_bounded(spark, docs):
+    once, again = (sorted(map(str, mixing.mix(d).select("doc_id", "source", "copies").collect())) for d in (docs, docs.repartition(7)))
+    assert once == again
+    many = spark.range(20_000).selectExpr("id AS doc_id", "repeat('w ', cast(id % 37 as int)) AS text", "concat('s', cast(sqrt(id % 36) as int)) AS source")
+    mixed = mixing.mix(many).groupBy("source").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.first("source_size").alias("size"), F.max("copies").alias("most")
+    ).collect()
+    assert sum(r.target for r in mixed) == pytest.approx(sum(r["size"] for r in mixed))
+    assert all(abs(r.taken - r.target) <= 0.01 * r.target + 40 and r.most <= 3 for r in mixed)
+
+
+def test_url_edges(spark):
+    urls = [
+        None, "", "no host", "http://", "HTTP://A.Example.ORG/es/1?x#y", "http://example.org/en/17", "http://org", "http://xorg/", "http://x.com/fr/a",
+        "http://x.com/de/", "ftp://h#f", "http://a.net?q=://b/c",
+    ]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    none = spark.createDataFrame([], "page_id long, bad int")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judged_urls(pages, none).collect()}
+    assert got[0] == got[1] == got[2] == ("", "", None, "allow") and got[3] == ("", "", None, "allow")
+    assert got[4] == ("a.example.org", "/es/1", "example.org/es/", "block") and got[5][2:] == ("example.org/en/1", "block")
+    assert got[6] == ("org", "", None, "allow") and got[7] == ("xorg", "/", None, "allow")
+    assert got[8][2:] == ("com/fr/", "allow") and got[9][2:] == ("com/de/", "block") and got[10] == ("h", "", None, "allow")
+    assert got[11] == ("a.net", "", None, "allow")
+    assert url_filter.judged_urls(pages.limit(0), none).count() == 0
+    bad = pages.select("page_id", F.lit(1).alias("bad"))
+    assert {r.verdict for r in url_filter.judged_urls(pages, bad).collect() if r.rule is None} == {"block"}
+
+
+def test_chats_of_many_layouts_come_back(spark):
+    turn = "struct<role: string, text: string>"
+    frame = spark.createDataFrame(
+        [
+            (1, None, None, "hi \\ [INST] \\0", "</s>[ROLE]x[/ROLE]<s>", None, None),
+            (2, [("human", "a"), ("gpt", None), (None, "c")], None, None, None, None, None),
+            (3, None, [("user", "q"), ("assistant", "r <")], None, None, None, None),
+            (4, None, None, None, None, "do", "done"), (5, None, None, None, "only half", None, None), (6, [], None, None, None, None, None),
+        ],
+        f"conv_id long, turns array<{turn}>, messages array<struct<role: string, content: string>>, prompt string, completion string, "
+        "instruction string, output string",
+    ).withColumn("formatted", F.lit("theirs"))
+    done = chat.formatted_chats(frame).withColumn("back", chat.read_back(F.col("formatted"))).withColumn("loss", chat.loss_text(F.col("pieces")))
+    got = {r.conv_id: r for r in done.collect()}
+    turns = lambda i: [(t.role, t.text) for t in got[i].back]
+    assert turns(1) == [("user", "hi \\ [INST] \\0"), ("assistant", "</s>[ROLE]x[/ROLE]<s>")] and got[1].layout == "prompt"
+    assert turns(2) == [("user", "a"), ("assistant", ""), ("", "c")] and got[2].layout == "turns"
+    assert turns(3) == [("user", "q"), ("assistant", "r <")] and got[3].loss == "r <"
+    assert turns(4) == [("user", "do"), ("assistant", "done")] and got[4].layout == "task"
+    assert got[5].layout is None and turns(5) == [] and turns(6) == [] and got[6].layout == "turns"
+    start, end = got[3].loss_spans[0]
+    assert got[3].formatted[start:end] == "r <"
+
+
+def test_pipeline_stages_on_odd_rows(spark, docs, folder):
+    left = docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, left, folder)
+        assert out.columns[: len(docs.columns)] == docs.columns
+        assert stage(spark, docs.limit(0), folder).count() == 0, name
+        left = spark.createDataFrame(out.select(*docs.columns).collect(), SCHEMA)
+    assert corpus_pipeline.run(spark, folder).count() > 0
