@@ -139,7 +139,9 @@ class BoostedSettings:
     column_fraction: float = 0.8
     rows_per_leaf: int = 100
     seed: int = 42
-    stop_tolerance: float = 0.001
+    #: Rounds without a better loss on the rows held back after which fitting stops, and the rounds of the first attempt.
+    patience: int = 50
+    first_rounds: int = 64
 
 
 @dataclass(frozen=True)

@@ -36,10 +36,25 @@ def _utc_clock(moment: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(moment), epoch)
 
 
+#: Forms beside ISO in which logs write times, tried in this order: month before day where both are possible.
+TIME_FORMATS = (
+    "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy/MM/dd", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy hh:mm:ss a",
+    "MM/dd/yyyy hh:mm a", "MM/dd/yyyy", "yyyy-MM-dd hh:mm:ss a", "yyyy-MM-dd hh:mm a", "yyyyMMdd HH:mm:ss", "yyyyMMdd",
+)
+ZONED_FORMATS = ("yyyy-MM-dd HH:mm Z", "yyyy-MM-dd HH:mm:ss Z")
+
+
 def parse_utc(text: Column) -> Column:
-    """ISO text to an instant; null where the text is no time. A zone in the text is honoured."""
+    """Text to an instant: ISO first, then the other forms; null where it is no time. A zone in the text is honoured."""
     has_zone = text.rlike(r":\d{2}(\.\d+)?\s*[A-Za-z+\-]")
-    return F.when(has_zone, _utc_clock(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
+    iso = F.when(has_zone, _utc_clock(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
+    # Texts of eight digits are dates, not years.
+    compact = text.rlike(r"^\s*\d{8}(\s|$)")
+    plain = F.trim(text)
+    # A clock without a zone reads the same in any zone, so it is parsed with one that is appended.
+    others = [_utc_clock(F.try_to_timestamp(F.concat(plain, F.lit(" +0000")), F.lit(f"{f} Z"))) for f in TIME_FORMATS]
+    zoned = [_utc_clock(F.try_to_timestamp(plain, F.lit(f))) for f in ZONED_FORMATS]
+    return F.coalesce(F.when(~compact, iso), *zoned, *others)
 
 
 def as_instant(column: Column, kind: T.DataType) -> Column:

@@ -24,8 +24,9 @@ _IS_ACTIVITY = f"({KIND} IN ({_texts(VOCABULARY.exact)}) OR starts_with({KIND},
 
 _LONG = f"""
 long_log AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS {ID}, o_orderdate AS {TIME}, 'order' AS {KIND}
-  FROM orders WHERE o_orderstatus <> 'P'
+  SELECT CAST(o_custkey AS VARCHAR) AS {ID}, o_orderdate AS {TIME},
+    CASE o_orderstatus WHEN 'P' THEN 'order_in_progress' ELSE 'order' END AS {KIND}
+  FROM orders
   UNION ALL
   SELECT CAST(o_custkey AS VARCHAR), l_shipdate,
     CASE l_returnflag || l_linestatus
@@ -166,10 +167,10 @@ silent AS (
   FROM customer WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT {ID} FROM activity)),
 table_of_scores AS (SELECT * FROM scored UNION ALL SELECT * FROM silent)"""
 
-_EVALUATED = f"""{_POOL},
+_ALL_RATED = f"""{_POOL},
 rated AS (
-  SELECT snapshot_index, {SNAPSHOT}, {HORIZON.target} AS y, {_score(HORIZON.lookback)} AS p
-  FROM features WHERE snapshot_index < {EVALUATED_SNAPSHOTS})"""
+  SELECT snapshot_index, {SNAPSHOT}, {HORIZON.target} AS y, {_score(HORIZON.lookback)} AS p FROM features)"""
+_EVALUATED = f"{_ALL_RATED[:-1]} WHERE snapshot_index < {EVALUATED_SNAPSHOTS})"
 
 _CUTS = f"""
 cuts AS (SELECT unnest([{", ".join(f"CAST({t!r} AS DOUBLE)" for t in thresholds())}]) AS t)"""
@@ -347,10 +348,10 @@ SELECT *, {_FLAG} FROM (
                                f"count(*) / (SELECT count(*) FROM table_of_scores) AS share, "
                                f"CASE WHEN {BUCKET} <> 'weak_signal' THEN count(*) / (SELECT count(*) FROM scored) END "
                                f"AS scored_share FROM table_of_scores GROUP BY {BUCKET}",
-        "classification_metrics": f"{_EVALUATED}, {_AT_HALF} SELECT * EXCLUDE (churn_rate) FROM half",
-        "roc_auc": f"{_EVALUATED}, {_PAIRS} SELECT {per_snapshot}, round(roc_auc, 9) AS roc_auc FROM auc",
-        "average_precision": f"{_EVALUATED}, {_STEPS} SELECT {per_snapshot}, round(pr_auc, 9) AS pr_auc FROM ap",
-        "f1_threshold_sweep": f"{_EVALUATED}, {_SWEEP} SELECT * FROM best",
+        "classification_metrics": f"{_ALL_RATED}, {_AT_HALF} SELECT * EXCLUDE (churn_rate) FROM half",
+        "roc_auc": f"{_ALL_RATED}, {_PAIRS} SELECT {per_snapshot}, round(roc_auc, 9) AS roc_auc FROM auc",
+        "average_precision": f"{_ALL_RATED}, {_STEPS} SELECT {per_snapshot}, round(pr_auc, 9) AS pr_auc FROM ap",
+        "f1_threshold_sweep": f"{_ALL_RATED}, {_SWEEP} SELECT * FROM best",
         "rolling_eval": f"{_EVALUATED}, {_SWEEP}, {_PAIRS}, {_STEPS}, {_AT_HALF} SELECT h.*, b.threshold_opt, "
                         f"b.accuracy_opt, b.precision_opt, b.recall_opt, b.f1_opt, round(roc_auc, 9) AS roc_auc, "
                         f"round(pr_auc, 9) AS pr_auc, CAST(h.snapshot_index > 0 AS INTEGER) AS in_sample FROM half h "

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.config import (
-    BUCKET, EVALUATED_SNAPSHOTS, HORIZON, ID, KIND, PROBABILITY, SNAPSHOT, BoostedSettings, Horizon, LinearSettings,
+    BUCKET, EVALUATED_SNAPSHOTS, HORIZON, ID, KIND, PROBABILITY, SNAPSHOT, BoostedSettings, Horizon,
 )
 from ebbtide.models.importance import boosted_importance, linear_importance
 from ebbtide.operators import features as feat
@@ -37,9 +37,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHORT = Horizon(windows=(3, 6, 9), lookback=9, outcome=1, step=3, inactive_flags=(1, 2))
 SAMPLE = 100
 EXTRACT_AS_OF = date(2001, 8, 1)
-# Fitting in a query is kept short; the defaults of the library are longer.
-QUICK = BoostedSettings(rounds=10, depth=4)
-QUICK_LINEAR = LinearSettings(max_iterations=25)
+# A query boosts for fewer rounds than the library's 500, each of which is a chain of jobs; all else is as in the library.
+QUERY_BOOSTING = BoostedSettings(rounds=20)
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -91,8 +90,8 @@ def _pooled(spark: SparkSession, folder: str, first_step: int, last_step: int |
     return snap.pooled_snapshots(activity, calendar, first_step=first_step, last_step=last_step), calendar
 
 
-def _evaluated(spark: SparkSession, folder: str) -> DataFrame:
-    pooled, _ = _pooled(spark, folder, 0, EVALUATED_SNAPSHOTS - 1)
+def _rated(spark: SparkSession, folder: str, last_step: int | None = None) -> DataFrame:
+    pooled, _ = _pooled(spark, folder, 0, last_step)
     return pooled.select(STEP, SNAPSHOT, HORIZON.target, stand_in_score(HORIZON.lookback).alias(PROBABILITY))
 
 
@@ -330,30 +329,30 @@ _PER_SNAPSHOT = [STEP, SNAPSHOT]
 
 @registered("classification_metrics")
 def threshold_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return classification_metrics(_evaluated(spark, folder), _PER_SNAPSHOT, PROBABILITY, HORIZON.target)
+    return classification_metrics(_rated(spark, folder), _PER_SNAPSHOT, PROBABILITY, HORIZON.target)
 
 
 @registered("roc_auc")
 def ranking_auc(spark: SparkSession, folder: str) -> DataFrame:
-    ranked = ranked_scores(_evaluated(spark, folder), _PER_SNAPSHOT, PROBABILITY, HORIZON.target, bounded=True)
+    ranked = ranked_scores(_rated(spark, folder), _PER_SNAPSHOT, PROBABILITY, HORIZON.target, bounded=True)
     return roc_auc(ranked, _PER_SNAPSHOT).withColumn("roc_auc", F.round("roc_auc", 9))
 
 
 @registered("average_precision")
 def ranking_average_precision(spark: SparkSession, folder: str) -> DataFrame:
-    ranked = ranked_scores(_evaluated(spark, folder), _PER_SNAPSHOT, PROBABILITY, HORIZON.target, bounded=True)
+    ranked = ranked_scores(_rated(spark, folder), _PER_SNAPSHOT, PROBABILITY, HORIZON.target, bounded=True)
     return average_precision(ranked, _PER_SNAPSHOT).withColumn("pr_auc", F.round("pr_auc", 9))
 
 
 @registered("f1_threshold_sweep")
 def f1_threshold_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    table = threshold_table(_evaluated(spark, folder), _PER_SNAPSHOT, PROBABILITY, HORIZON.target)
+    table = threshold_table(_rated(spark, folder), _PER_SNAPSHOT, PROBABILITY, HORIZON.target)
     return best_threshold(table, _PER_SNAPSHOT)
 
 
 @registered("rolling_eval")
 def rolling_eval(spark: SparkSession, folder: str) -> DataFrame:
-    rows = rolling_evaluation(_evaluated(spark, folder), _PER_SNAPSHOT, PROBABILITY, HORIZON.target, bounded=True)
+    rows = rolling_evaluation(_rated(spark, folder, EVALUATED_SNAPSHOTS - 1), _PER_SNAPSHOT, PROBABILITY, HORIZON.target, bounded=True)
     rounded = rows.withColumns({c: F.round(c, 9) for c in ("roc_auc", "pr_auc")})
     return training.with_sample_flag(rounded)
 
@@ -370,28 +369,28 @@ def run_metadata(spark: SparkSession, folder: str) -> DataFrame:
 @registered("gbt_scores")
 def boosted_scores(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    return training.train_boosted(data, QUICK).predict(data.test, [ID, HORIZON.target])
+    return training.train_boosted(data, QUERY_BOOSTING).predict(data.test, [ID, HORIZON.target])
 
 
 @registered("gbt_importance")
 def boosted_feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    return boosted_importance(spark, training.train_boosted(data, QUICK))
+    return boosted_importance(spark, training.train_boosted(data, QUERY_BOOSTING))
 
 
 @registered("linear_calibrated_scores")
 def linear_calibrated_scores(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    return training.train_linear(data, QUICK_LINEAR).predict(data.test, [ID, HORIZON.target])
+    return training.train_linear(data).predict(data.test, [ID, HORIZON.target])
 
 
 @registered("linear_importance")
 def linear_feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    return linear_importance(spark, training.train_linear(data, QUICK_LINEAR))
+    return linear_importance(spark, training.train_linear(data))
 
 
 @registered("gbt_rolling_eval")
 def model_rolling_eval(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    return training.evaluate(training.train_boosted(data, QUICK), data)
+    return training.evaluate(training.train_boosted(data, QUERY_BOOSTING), data)

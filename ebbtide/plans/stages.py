@@ -6,21 +6,23 @@ next one reads, so that a lost executor or driver costs one stage at most.
 
 from __future__ import annotations
 
-from datetime import datetime
+import json
+from dataclasses import asdict
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.config import HORIZON, ID, BoostedSettings, Horizon, LinearSettings
-from ebbtide.models.importance import boosted_importance, linear_importance
+from ebbtide.models.importance import linear_importance, split_counts
 from ebbtide.models.risk_model import RiskModel
 from ebbtide.operators.activity import activity_filter
 from ebbtide.operators.clean import LENIENT, CleaningProfile, clean_events, normalise_log
 from ebbtide.operators.metrics import average_precision, ranked_scores, roc_auc
 from ebbtide.operators.quality import data_quality
-from ebbtide.operators.snapshots import calendar_of, labelled_counts, observed_range, pooled_snapshots
+from ebbtide.operators.snapshots import SnapshotCalendar, calendar_of, labelled_counts, observed_range, pooled_snapshots
 from ebbtide.plans import scoring_run, training
-from ebbtide.sources.activity_store import write_by_month
+from ebbtide.sources.activity_store import window_of, write_by_month
 from ebbtide.sources.readers import read_raw_csv, require_path
 from ebbtide.sources.sinks import write_csv, write_json, write_parquet
 
@@ -38,7 +40,7 @@ def activity_stage(spark: SparkSession, cleaned: str, activity: str) -> DataFram
     """Cleaned log to activity log."""
     require_path(spark, cleaned, "run the clean stage first")
     log = spark.read.parquet(cleaned)
-    write_parquet(activity_filter(log), activity)
+    write_parquet(activity_filter(log, respell=True), activity)
     return data_quality(log, {"activity": spark.read.parquet(activity)})
 
 
@@ -55,25 +57,32 @@ def label_stage(spark: SparkSession, activity: str, labelled: str, horizon: Hori
     write_parquet(labelled_counts(log, calendar_of(log, horizon).anchor, horizon), labelled)
 
 
+def needed_events(log: DataFrame, calendar: SnapshotCalendar, horizon: Horizon = HORIZON) -> DataFrame:
+    """The rows that the snapshots of a calendar look at; tables by month are read for those months only."""
+    oldest = calendar.anchor - timedelta(days=calendar.pooled * horizon.step + horizon.lookback)
+    return normalise_log(window_of(log, oldest, calendar.anchor + timedelta(days=horizon.outcome)))
+
+
 def train_stage(spark: SparkSession, dataset: str, folder: str, kind: str = "boosted", horizon: Horizon = HORIZON,
                 settings: BoostedSettings | LinearSettings | None = None, limit: int = 0) -> RiskModel:
     """Activity by month to a model with its features, evaluation, importances and run record in ``folder``."""
     if kind not in ("boosted", "linear"):
         raise ValueError("kind is 'boosted' or 'linear'")
     require_path(spark, dataset, "run the month stage first")
-    log = normalise_log(spark.read.parquet(dataset))
-    calendar = calendar_of(log, horizon, limit)
-    write_parquet(pooled_snapshots(log, calendar, horizon, first_step=0), f"{folder}/training_rows")
+    log = spark.read.parquet(dataset)
+    calendar = calendar_of(normalise_log(log), horizon, limit)
+    write_parquet(pooled_snapshots(needed_events(log, calendar, horizon), calendar, horizon, first_step=0), f"{folder}/training_rows")
     data = training.TrainingSet(spark.read.parquet(f"{folder}/training_rows"), calendar, horizon)
     if data.calendar.pooled < 1:
         raise ValueError("no snapshot has enough history for pooled training")
     if kind == "boosted":
-        model = training.train_boosted(data, settings or BoostedSettings())
-        importance = boosted_importance(spark, model)
+        settings = settings or BoostedSettings()
+        model = training.train_boosted(data, settings)
     else:
-        model = training.train_linear(data, settings or LinearSettings())
-        importance = linear_importance(spark, model)
+        settings = settings or LinearSettings()
+        model = training.train_linear(data, settings)
     model.save(spark, f"{folder}/model")
+    importance = split_counts(spark, f"{folder}/model", model.features) if kind == "boosted" else linear_importance(spark, model)
     write_csv(training.evaluate(model, data), f"{folder}/rolling_eval")
     write_csv(importance.coalesce(1), f"{folder}/feature_importance")
     record = training.run_metadata(data.rows, calendar, horizon, len(model.features))
@@ -81,6 +90,8 @@ def train_stage(spark: SparkSession, dataset: str, folder: str, kind: str = "boo
     ranked = ranked_scores(tested, [], scoring_run.PROBABILITY, horizon.target)
     record = record.withColumns({
         "model": F.lit(kind),
+        "parameters": F.lit(json.dumps(asdict(settings))),
+        "pool_limit": F.lit(limit),
         "roc_auc_test": roc_auc(ranked, []).scalar(),
         "pr_auc_test": average_precision(ranked, []).scalar(),
     })

@@ -19,9 +19,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def long_log(spark: SparkSession, folder: str) -> DataFrame:
     """Years of events at midnight: orders, and order lines as mail and session events."""
     orders = table(spark, folder, "orders")
-    placed = orders.filter(F.col("o_orderstatus") != "P").select(
-        F.col("o_custkey").cast("string").alias(ID), F.col("o_orderdate").alias(TIME), F.lit("order").alias(KIND)
-    )
+    # Orders in progress stay in the log; their kind is no activity.
+    status = F.when(F.col("o_orderstatus") == "P", "order_in_progress").otherwise("order")
+    placed = orders.select(F.col("o_custkey").cast("string").alias(ID), F.col("o_orderdate").alias(TIME), status.alias(KIND))
     flag, shipped = F.col("l_returnflag"), F.col("l_linestatus") == "O"
     kind = (
         F.when(flag == "N", F.when(shipped, "emarsys_open").otherwise("emarsys_click"))

@@ -34,10 +34,13 @@ def store_by_month(activity: DataFrame, path: str, checkpoint: str) -> Streaming
 
 
 def daily_activity(activity: DataFrame, late_by: str = "2 days") -> DataFrame:
-    """Events per customer and day, closed when the watermark has passed the day."""
-    timed = activity.select(ID, KIND, F.col(TIME).cast("timestamp").alias(TIME))
-    return (
-        timed.withWatermark(TIME, late_by)
-        .groupBy(F.window(TIME, "1 day").alias("day"), ID)
-        .agg(F.count("*").alias("n_events"))
-    )
+    """Events per customer and UTC day, closed when the watermark has passed the day.
+
+    Times without a zone are UTC; windows are cut on instants, so the zone of the session plays no part.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    moment = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(TIME)))
+    timed = activity.select(ID, KIND, moment.alias(TIME))
+    counted = timed.withWatermark(TIME, late_by).groupBy(F.window(TIME, "1 day").alias("day"), ID).agg(F.count("*").alias("n_events"))
+    number = F.floor(F.unix_micros("day.start") / 86_400_000_000).cast("int")
+    return counted.select(F.date_add(F.lit("1970-01-01").cast("date"), number).alias("day"), ID, "n_events")

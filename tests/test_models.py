@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.config import ID, KIND, PROBABILITY, TIME, BoostedSettings, LinearSettings
-from ebbtide.models.importance import boosted_importance, linear_importance, split_counts
+from ebbtide.models.boosted import fit_boosted
+from ebbtide.models.importance import boosted_importance, linear_importance, split_counts, top_features
 from ebbtide.models.risk_model import RiskModel, balanced_weight
+from ebbtide.operators.metrics import ranked_scores, roc_auc
 from ebbtide.plans import training
 from ebbtide.plans.queries import SHORT
 from ebbtide.plans.scoring_run import percentile_bounds, percentile_scores, score_customers
@@ -108,3 +110,22 @@ def test_scoring_by_history_and_percentile(activity, boosted):
     assert low <= mid <= top
     buckets = {r["churn_bucket"]: r["count"] for r in percentile_scores(everyone, latest).groupBy("churn_bucket").count().collect()}
     assert sum(buckets.values()) == 120 and buckets["very_high"] >= 12
+
+
+def test_boosting_keeps_trees_while_they_help(spark):
+    """A planted signal: more than a few trees stay, and the first rows to get worse do not end it."""
+    rows = spark.range(6000).select(
+        (F.col("id") % 3).cast("int").alias("fold"), F.rand(1).alias("a"), F.rand(2).alias("b"), F.rand(3).alias("noise")
+    ).withColumn("y", (F.rand(4) < 0.15 + 0.7 * ((F.sin(F.col("a") * 9) + F.col("b")) > 0.6).cast("double")).cast("int")).cache()
+    settings = BoostedSettings(rounds=40, depth=2, rows_per_leaf=20, first_rounds=20, patience=5)
+    model = fit_boosted(rows, ["a", "b", "noise"], "y", settings, held_back=F.col("fold") == 0)
+    whole = fit_boosted(rows.filter("fold <> 0"), ["a", "b", "noise"], "y", settings)
+    trees = lambda m: next(s for s in m.stages.stages if hasattr(s, "trees")).trees
+    assert len(trees(model)) > 10
+
+    def auc(m):
+        ranked = ranked_scores(m.predict(rows.filter("fold = 0"), ["y"]), [], PROBABILITY, "y")
+        return roc_auc(ranked, []).first()["roc_auc"]
+
+    assert auc(model) >= auc(whole) - 0.005 and auc(model) > 0.75
+    assert top_features(boosted_importance(spark, model), 2).count() == 2
