@@ -20,7 +20,6 @@ from ebbtide.session import ensure_checkpoint_folder
 
 RANGE = "score_range"
 ROWS_PER_RANGE = 1_000_000
-MOST_RANGES = 10_000
 
 
 def per_score(df: DataFrame, group: list[str], score: str, sums: dict[str, Column]) -> DataFrame:
@@ -60,7 +59,7 @@ def running_totals(
 
     ensure_checkpoint_folder(scores.sparkSession)
     fixed = scores.checkpoint()
-    ranges = min(math.ceil(fixed.count() / rows_per_range), MOST_RANGES)
+    ranges = math.ceil(fixed.count() / rows_per_range)
     if ranges < 2:
         return running_totals(fixed, group, score, values, descending, bounded=True)
 

@@ -143,8 +143,12 @@ _TEST = f"WITH {_LONG}, {_one_snapshot(_OUTCOME_START)}, {_features(HORIZON, Fal
 _POOL = f"WITH {_LONG}, {_all_snapshots()}, {_features(HORIZON, False)}"
 
 
+def _raw_score(lookback: int) -> str:
+    return f"1 - active_days_last_{lookback}d / (recency_days + CAST(10.0 AS DOUBLE))"
+
+
 def _score(lookback: int) -> str:
-    raw = f"1 - active_days_last_{lookback}d / (recency_days + CAST(10.0 AS DOUBLE))"
+    raw = _raw_score(lookback)
     return f"floor(greatest(CAST(0 AS DOUBLE), least(CAST(1 AS DOUBLE), {raw})) * 1000) / CAST(1000 AS DOUBLE)"
 
 
@@ -170,6 +174,9 @@ table_of_scores AS (SELECT * FROM scored UNION ALL SELECT * FROM silent)"""
 _ALL_RATED = f"""{_POOL},
 rated AS (
   SELECT snapshot_index, {SNAPSHOT}, {HORIZON.target} AS y, {_score(HORIZON.lookback)} AS p FROM features)"""
+_UNROUNDED = f"""{_POOL},
+rated AS (
+  SELECT snapshot_index, {SNAPSHOT}, {HORIZON.target} AS y, {_raw_score(HORIZON.lookback)} AS p FROM features)"""
 _EVALUATED = f"{_ALL_RATED[:-1]} WHERE snapshot_index < {EVALUATED_SNAPSHOTS})"
 
 _CUTS = f"""
@@ -351,6 +358,8 @@ SELECT *, {_FLAG} FROM (
         "classification_metrics": f"{_ALL_RATED}, {_AT_HALF} SELECT * EXCLUDE (churn_rate) FROM half",
         "roc_auc": f"{_ALL_RATED}, {_PAIRS} SELECT {per_snapshot}, round(roc_auc, 9) AS roc_auc FROM auc",
         "average_precision": f"{_ALL_RATED}, {_STEPS} SELECT {per_snapshot}, round(pr_auc, 9) AS pr_auc FROM ap",
+        "roc_auc_unrounded": f"{_UNROUNDED}, {_PAIRS} SELECT {per_snapshot}, round(roc_auc, 9) AS roc_auc FROM auc",
+        "average_precision_unrounded": f"{_UNROUNDED}, {_STEPS} SELECT {per_snapshot}, round(pr_auc, 9) AS pr_auc FROM ap",
         "f1_threshold_sweep": f"{_ALL_RATED}, {_SWEEP} SELECT * FROM best",
         "rolling_eval": f"{_EVALUATED}, {_SWEEP}, {_PAIRS}, {_STEPS}, {_AT_HALF} SELECT h.*, b.threshold_opt, "
                         f"b.accuracy_opt, b.precision_opt, b.recall_opt, b.f1_opt, round(roc_auc, 9) AS roc_auc, "

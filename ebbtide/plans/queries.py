@@ -36,6 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SHORT = Horizon(windows=(3, 6, 9), lookback=9, outcome=1, step=3, inactive_flags=(1, 2))
 SAMPLE = 100
+SCORES_PER_RANGE = 5_000
 EXTRACT_AS_OF = date(2001, 8, 1)
 # A query boosts for fewer rounds than the library's 500, each of which is a chain of jobs; all else is as in the library.
 QUERY_BOOSTING = BoostedSettings(rounds=20)
@@ -71,12 +72,16 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
     return csv_missing_to_null(logs.raw_text_log(spark, folder))
 
 
+def _raw_score(lookback: int) -> Column:
+    return 1 - F.col(f"active_days_last_{lookback}d") / (F.col("recency_days") + F.lit(10.0))
+
+
 def stand_in_score(lookback: int) -> Column:
     """A score that any SQL engine can compute: few active days and a long silence mean risk.
 
     It has three decimals, so there are at most 1,001 distinct scores.
     """
-    raw = 1 - F.col(f"active_days_last_{lookback}d") / (F.col("recency_days") + F.lit(10.0))
+    raw = _raw_score(lookback)
     return F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw)) * 1000) / F.lit(1000.0)
 
 
@@ -344,6 +349,23 @@ def ranking_average_precision(spark: SparkSession, folder: str) -> DataFrame:
     return average_precision(ranked, _PER_SNAPSHOT).withColumn("pr_auc", F.round("pr_auc", 9))
 
 
+def _unrounded(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranked by a score that isn't rounded, so the number of scores grows with the customers: the way by ranges."""
+    pooled, _ = _pooled(spark, folder, 0)
+    rated = pooled.select(STEP, SNAPSHOT, HORIZON.target, _raw_score(HORIZON.lookback).alias(PROBABILITY))
+    return ranked_scores(rated, _PER_SNAPSHOT, PROBABILITY, HORIZON.target, rows_per_range=SCORES_PER_RANGE)
+
+
+@registered("roc_auc_unrounded")
+def ranking_auc_unrounded(spark: SparkSession, folder: str) -> DataFrame:
+    return roc_auc(_unrounded(spark, folder), _PER_SNAPSHOT).withColumn("roc_auc", F.round("roc_auc", 9))
+
+
+@registered("average_precision_unrounded")
+def ranking_average_precision_unrounded(spark: SparkSession, folder: str) -> DataFrame:
+    return average_precision(_unrounded(spark, folder), _PER_SNAPSHOT).withColumn("pr_auc", F.round("pr_auc", 9))
+
+
 @registered("f1_threshold_sweep")
 def f1_threshold_sweep(spark: SparkSession, folder: str) -> DataFrame:
     table = threshold_table(_rated(spark, folder), _PER_SNAPSHOT, PROBABILITY, HORIZON.target)
