@@ -2,8 +2,9 @@
 
 Texts become templates: numbers, units and names inside a sentence are replaced by typed placeholders, all else is
 lower-cased without marks at the ends. Windows of a template are hashed; those of the benchmark are the build side of a hash join, those
-of the documents probe it batch by batch. Matched windows of a document and an item that lie on one diagonal are an alignment. The slots
-it covers are checked: one value of the item must stand for one value in the document, all the way. An item is
+of the documents probe it batch by batch. A window that is mostly placeholders says little as a template and is hashed with its values. Matched
+windows of a document and an item that lie on one diagonal are an alignment. The slots it covers are checked: one value of the item must
+stand for one value in the document, all the way, where slots of other values at the ends of an alignment may be left out. An item is
 found where the alignments cover enough of it.
 
 The build side is sent to the tasks in blocks of items of bounded size, and all documents are run against each block, so a
@@ -59,13 +60,12 @@ def canonical(run: str, starts: bool) -> tuple[str, str]:
     return ("name" if word[0].isupper() and not starts else ""), small
 
 
-def _code(run: bytes, starts: bool) -> int:
-    kind, word = canonical(run.decode("utf-8", "replace"), starts)
+def _code(kind: str, word: str) -> int:
     return 0 if not word else _MARK[kind] if kind else xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")) | 1
 
 
 class Templates(dict):
-    """Row numbers of runs in three arrays: hash inside a sentence, hash at its start, whether it ends one."""
+    """Row numbers of runs in four arrays: hash inside a sentence, hash at its start, hash of its value, whether it ends one."""
 
     def __init__(self):
         super().__init__()
@@ -73,20 +73,24 @@ class Templates(dict):
 
     def _reset(self) -> None:
         self.clear()
-        self.inside, self.first, self.ends, self.n = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64), np.zeros(1024, bool), 0
+        self.inside, self.first, self.value = (np.zeros(1024, np.uint64) for _ in range(3))
+        self.ends, self.n = np.zeros(1024, bool), 0
 
     def __missing__(self, run: bytes) -> int:
         if self.n == len(self.inside):
-            self.inside, self.first = (np.concatenate([x, np.zeros_like(x)]) for x in (self.inside, self.first))
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        i = self.n
-        self.inside[i], self.first[i], self.ends[i] = _code(run, False), _code(run, True), run.endswith(_ENDS)
+            self.inside, self.first, self.value, self.ends = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.inside, self.first, self.value, self.ends)
+            )
+        i, text = self.n, run.decode("utf-8", "replace")
+        inside, first = canonical(text, False), canonical(text, True)
+        self.inside[i], self.first[i], self.value[i] = _code(*inside), _code(*first), _code("", first[1])
+        self.ends[i] = run.endswith(_ENDS)
         self.n += 1
         self[run] = i
         return i
 
-    def template(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """The runs, the places of those that hold a word, and their hashes."""
+    def template(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """The runs, the places of those that hold a word, their hashes in the template, and the hashes of their values."""
         if self.n > CACHE_WORDS:
             self._reset()
         runs = text.split()
@@ -95,7 +99,7 @@ class Templates(dict):
         starts[1:] = self.ends[at[:-1]]
         hashes = np.where(starts, self.first[at], self.inside[at])
         words = np.flatnonzero(hashes)
-        return runs, words, hashes[words]
+        return runs, words, hashes[words], self.value[at[words]]
 
 
 def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -118,13 +122,13 @@ def _slots(runs: list[bytes], words: np.ndarray) -> list[tuple[str, str]]:
 
 
 class Benchmark:
-    """The build side: window hashes in order, each with its item and place, by window length."""
+    """The build side: window hashes in order, each with its item and place, by window length and whether values are hashed."""
 
     def __init__(self, items: list[tuple[int, str]], window: int = WINDOW):
-        self.ids, self.slots, rows = [], [], {}
+        self.window, self.ids, self.slots, rows = window, [], [], {}
         templates = Templates()
         for item_id, text in items:
-            runs, words, hashes = templates.template(text.encode("utf-8", "replace"))
+            runs, words, hashes, values = templates.template(text.encode("utf-8", "replace"))
             if len(words) < LEAST_WORDS:
                 continue
             length = min(window, len(words))
@@ -133,20 +137,22 @@ class Benchmark:
             self.slots.append(_slots(runs, words))
             literal = np.array([kind == "" for kind, _ in self.slots[-1]], np.int64)
             enough = np.convolve(literal, np.ones(length, np.int64), "valid") * 2 >= length
-            for place in np.flatnonzero(enough).tolist():
-                rows.setdefault(length, []).append((int(window_hashes(hashes[place:place + length], length)[0]), number, place))
+            for exact, codes in ((False, hashes), (True, values)):
+                own = window_hashes(codes, length)
+                for place in np.flatnonzero(enough != exact).tolist():
+                    rows.setdefault((length, exact), []).append((int(own[place]), number, place))
         self.tables = {}
-        for length, found in rows.items():
+        for kind, found in rows.items():
             found.sort()
             h = np.array([f[0] for f in found], np.uint64)
             maybe = np.zeros(1 << 20, bool)
             maybe[(h >> np.uint64(44)).astype(np.int64)] = True
-            self.tables[length] = (h, np.array([f[1:] for f in found], np.int64), maybe)
+            self.tables[kind] = (h, np.array([f[1:] for f in found], np.int64), maybe)
 
-    def matches(self, hashes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    def matches(self, hashes: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(item, place in the item, place in the document, length) of each pair of equal windows."""
-        for length, (table, owners, maybe) in self.tables.items():
-            own = window_hashes(hashes, length)
+        for (length, exact), (table, owners, maybe) in self.tables.items():
+            own = window_hashes(values if exact else hashes, length)
             at = np.flatnonzero(maybe[(own >> np.uint64(44)).astype(np.int64)])
             low = np.searchsorted(table, own[at], "left")
             high = np.searchsorted(table, own[at], "right")
@@ -155,28 +161,42 @@ class Benchmark:
                     yield item, start, place, length
 
 
-def _consistent(pairs: list[tuple[str, str]]) -> bool:
-    """Whether one value stands for one value all the way."""
+def _consistent(both: list[tuple[int, str, str, str]]) -> bool:
+    """Whether one value stands for one value in all slots. both: (place, kind, value of the item, value of the document)."""
     seen: dict[str, str] = {}
-    return all(seen.setdefault(a, b) == b for a, b in pairs)
+    return all(seen.setdefault(a, b) == b for _, kind, a, b in both if kind)
+
+
+def _trimmed(both: list[tuple[int, str, str, str]]) -> list[tuple[int, str, str, str]]:
+    """Without the slots of other values at both ends: what follows a passage may fit its template by chance."""
+    first, last = 0, len(both)
+    while last > first and both[last - 1][1] and both[last - 1][2] != both[last - 1][3]:
+        last -= 1
+    while first < last and both[first][1] and both[first][2] != both[first][3]:
+        first += 1
+    return both[first:last]
 
 
 def leaks_of(text: bytes, bench: Benchmark, templates: Templates, share: float, long_run: int) -> list[tuple]:
     """(item id, words covered, share, kind, start, end) of each item that a text holds; offsets are code points, end exclusive."""
-    runs, words, hashes = templates.template(text)
+    runs, words, hashes, values = templates.template(text)
     lines: dict[int, dict[int, set[int]]] = {}
-    for item, start, place, length in bench.matches(hashes):
+    for item, start, place, length in bench.matches(hashes, values):
         lines.setdefault(item, {}).setdefault(place - start, set()).update(range(start, start + length))
     found = []
     for item, diagonals in lines.items():
         wanted, covered, changed, places = bench.slots[item], set(), False, []
         for shift, spots in diagonals.items():
-            own = _slots(runs, words[np.array(sorted(spots)) + shift]) if any(wanted[s][0] for s in spots) else None
-            if own is not None:
-                pairs = [(wanted[s][1], value) for s, (_, value) in zip(sorted(spots), own) if wanted[s][0]]
-                if not _consistent(pairs):
-                    continue
-                changed |= any(a != b for a, b in pairs)
+            if any(wanted[s][0] for s in spots):
+                ordered = sorted(spots)
+                own = _slots(runs, words[np.array(ordered) + shift])
+                both = [(s, *wanted[s], value) for s, (_, value) in zip(ordered, own)]
+                if not _consistent(both):
+                    both = _trimmed(both)
+                    if not both or not _consistent(both):
+                        continue
+                changed |= any(kind and a != b for _, kind, a, b in both)
+                spots = {s for s, *_ in both}
             covered |= spots
             places += [min(spots) + shift, max(spots) + shift]
         part = len(covered) / len(wanted)
@@ -236,7 +256,7 @@ def benchmark_leaks(
     """One row per document row and item found in it: doc_id, item_id, words_found, share, kind (same, changed), start, end.
 
     Items of fewer than ``LEAST_WORDS`` words are not searched. Items shorter than a window are found as a whole. An item counts where
-    at least ``share`` of its words or ``long_run`` words are covered. Windows with more placeholders than words are not used.
+    at least ``share`` of its words or ``long_run`` words are covered. Windows with more placeholders than words are found with the item's values only.
     Null texts hold nothing, as documents and as items; repeated rows are searched each, repeated items are found each.
     """
     arrow_limits(docs.sparkSession)

@@ -63,6 +63,22 @@ def test_changed_numbers_and_names_are_found_if_they_are_consistent():
     assert found("the farmer has apples and gives some away so how many are left in the end") == []
 
 
+def test_a_name_behind_a_part_of_the_passage_does_not_hide_it():
+    item = "the farmer Anna has 12 apples and gives all of them back to Anna once more"
+    bench, templates = decontamination.Benchmark([(1, item)]), decontamination.Templates()
+    text = "the farmer Anna has 12 apples and gives all of them back to"
+    found = decontamination.leaks_of(f"{text} Bob, who left".encode(), bench, templates, 0.5, 20)
+    assert [(x[3], x[4], x[5]) for x in found] == [("same", 0, len(text))]
+
+
+def test_items_of_numbers_are_found_with_their_own_values_only():
+    item = "3 + 4 = 7 and 12 + 30 = 42 and 8 + 9 = 17 and 100 + 5 = 105"
+    bench, templates = decontamination.Benchmark([(7, item)]), decontamination.Templates()
+    found = lambda t: [x[0] for x in decontamination.leaks_of(t.encode(), bench, templates, 0.5, 20)]
+    assert found("sums are " + item + " as shown") == [7]
+    assert found("sums are " + item.replace("3", "2").replace("5", "6").replace("9", "8") + " as shown") == []
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
