@@ -20,18 +20,20 @@ def sampled_customers(log: DataFrame, size: int = SAMPLE_SIZE, seed: int = 42) -
     """``size`` distinct customers in the order of a hash, the same ones on every run.
 
     A hash spreads customers evenly, so the first digits of the last one drawn are found
-    from a histogram of at most 65,536 rows. Only customers up to there are sorted, which
-    are ``size`` and a few more, however many there are in all.
+    from a histogram of at most 65,536 rows. Customers below those digits are all drawn; only the
+    few who share them are ranked in one task, however large the sample is.
     """
     drawn = log.select(ID).dropna().distinct().withColumn("draw", _draw(seed))
     digits = F.substring("draw", 1, _DIGITS)
     histogram = drawn.groupBy(digits.alias("digits")).agg(F.count("*").alias("n")).orderBy("digits").collect()
-    seen, last = 0, ""
+    below, last = 0, ""
     for row in histogram:
-        seen, last = seen + row["n"], row["digits"]
-        if seen >= size:
+        last = row["digits"]
+        if below + row["n"] >= size:
             break
-    return drawn.filter(digits <= last).orderBy("draw", ID).limit(size).select(ID)
+        below += row["n"]
+    sure, rest = drawn.filter(digits < last), drawn.filter(digits == last)
+    return sure.unionByName(rest.orderBy("draw", ID).limit(max(0, size - below))).orderBy("draw", ID).select(ID)
 
 
 def events_of(log: DataFrame, customers: DataFrame) -> DataFrame:

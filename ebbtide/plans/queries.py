@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.config import (
-    BUCKET, EVALUATED_SNAPSHOTS, HORIZON, ID, KIND, PROBABILITY, SNAPSHOT, BoostedSettings, Horizon,
+    BUCKET, EVALUATED_SNAPSHOTS, HORIZON, ID, KIND, PROBABILITY, SNAPSHOT, Horizon,
 )
-from ebbtide.models.importance import boosted_importance, linear_importance
+from ebbtide.models.importance import boosted_importance, boosted_splits, linear_importance
 from ebbtide.operators import features as feat
 from ebbtide.operators import snapshots as snap
 from ebbtide.operators.activity import activity_filter, counts_with_share, month_partitions, with_month
@@ -38,8 +38,6 @@ SHORT = Horizon(windows=(3, 6, 9), lookback=9, outcome=1, step=3, inactive_flags
 SAMPLE = 100
 SCORES_PER_RANGE = 5_000
 EXTRACT_AS_OF = date(2001, 8, 1)
-# A query boosts for fewer rounds than the library's 500, each of which is a chain of jobs; all else is as in the library.
-QUERY_BOOSTING = BoostedSettings(rounds=20)
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -391,13 +389,14 @@ def run_metadata(spark: SparkSession, folder: str) -> DataFrame:
 @registered("gbt_scores")
 def boosted_scores(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    return training.train_boosted(data, QUERY_BOOSTING).predict(data.test, [ID, HORIZON.target])
+    return training.train_boosted(data).predict(data.test, [ID, HORIZON.target])
 
 
 @registered("gbt_importance")
 def boosted_feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    return boosted_importance(spark, training.train_boosted(data, QUERY_BOOSTING))
+    model = training.train_boosted(data)
+    return boosted_splits(spark, model).join(boosted_importance(spark, model).withColumnRenamed("importance", "gain"), "feature")
 
 
 @registered("linear_calibrated_scores")
@@ -415,4 +414,4 @@ def linear_feature_importance(spark: SparkSession, folder: str) -> DataFrame:
 @registered("gbt_rolling_eval")
 def model_rolling_eval(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    return training.evaluate(training.train_boosted(data, QUERY_BOOSTING), data)
+    return training.evaluate(training.train_boosted(data), data)

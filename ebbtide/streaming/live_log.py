@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ebbtide.config import DAY, ID, KIND, TIME, VOCABULARY, Vocabulary
+from ebbtide.config import DAY, HORIZON, ID, KIND, TIME, VOCABULARY, Vocabulary
 from ebbtide.operators.activity import activity_filter, with_month
 from ebbtide.operators.clean import LENIENT, CleaningProfile, clean_events, csv_missing_to_null
 
@@ -33,14 +33,29 @@ def store_by_month(activity: DataFrame, path: str, checkpoint: str) -> Streaming
     )
 
 
+def _at_instants(activity: DataFrame) -> DataFrame:
+    """Times without a zone are UTC; as instants they are cut into windows whatever the zone of the session."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    moment = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(TIME)))
+    return activity.select(ID, KIND, moment.alias(TIME))
+
+
+def _utc_day(moment: str) -> Column:
+    number = F.floor(F.unix_micros(moment) / 86_400_000_000).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), number)
+
+
 def daily_activity(activity: DataFrame, late_by: str = "2 days") -> DataFrame:
-    """Events per customer and UTC day, closed when the watermark has passed the day.
+    """Events per customer and UTC day, closed when the watermark has passed the day."""
+    counted = _at_instants(activity).withWatermark(TIME, late_by).groupBy(F.window(TIME, "1 day").alias("day"), ID).agg(F.count("*").alias("n_events"))
+    return counted.select(_utc_day("day.start").alias("day"), ID, "n_events")
+
+
+def sliding_activity(activity: DataFrame, days: int = HORIZON.windows[0], late_by: str = "2 days") -> DataFrame:
+    """Events per customer in the ``days`` UTC days up to and with each day, for the days on which a customer has any.
 
-    Times without a zone are UTC; windows are cut on instants, so the zone of the session plays no part.
+    Each row lies in ``days`` windows, so a task first adds up the rows of its own part.
     """
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    moment = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(TIME)))
-    timed = activity.select(ID, KIND, moment.alias(TIME))
-    counted = timed.withWatermark(TIME, late_by).groupBy(F.window(TIME, "1 day").alias("day"), ID).agg(F.count("*").alias("n_events"))
-    number = F.floor(F.unix_micros("day.start") / 86_400_000_000).cast("int")
-    return counted.select(F.date_add(F.lit("1970-01-01").cast("date"), number).alias("day"), ID, "n_events")
+    window = F.window(TIME, f"{days} days", "1 day").alias("span")
+    counted = _at_instants(activity).withWatermark(TIME, late_by).groupBy(window, ID).agg(F.count("*").alias("n_events"))
+    return counted.select(F.date_sub(_utc_day("span.end"), 1).alias("last_day"), ID, "n_events")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.config import ID, KIND, PROBABILITY, TIME, BoostedSettings, LinearSettings
 from ebbtide.models.boosted import fit_boosted
-from ebbtide.models.importance import boosted_importance, linear_importance, split_counts, top_features
+from ebbtide.models.importance import boosted_importance, boosted_splits, linear_importance, split_counts, top_features
 from ebbtide.models.risk_model import RiskModel, balanced_weight
 from ebbtide.operators.metrics import ranked_scores, roc_auc
 from ebbtide.plans import training
@@ -74,6 +74,7 @@ def test_boosted_importance(spark, boosted, tmp_path):
     boosted.save(spark, f"{tmp_path}/m")
     splits = {r["feature"]: r["importance"] for r in split_counts(spark, f"{tmp_path}/m", boosted.features).collect()}
     assert len(splits) == 53
+    assert {r["feature"]: r["importance"] for r in boosted_splits(spark, boosted).collect()} == splits
     trees = boosted.stages.stages[0].trees
     assert sum(splits.values()) == sum((t.numNodes - 1) // 2 for t in trees)
     assert {f for f, n in splits.items() if n} == {r["feature"] for r in gains if r["importance"] > 0}

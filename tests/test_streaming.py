@@ -11,7 +11,7 @@ from ebbtide.operators.clean import clean_events
 from ebbtide.sources import sample_logs as logs
 from ebbtide.sources.readers import read_raw_csv
 from ebbtide.sources.sinks import write_csv
-from ebbtide.streaming.live_log import daily_activity, live_activity, raw_stream, store_by_month
+from ebbtide.streaming.live_log import daily_activity, live_activity, raw_stream, sliding_activity, store_by_month
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -39,3 +39,18 @@ def test_daily_counts_equal_batch(spark, tmp_path):
     wanted = log.groupBy(F.to_date(TIME).alias("day"), ID).agg(F.count("*").alias("n_events"))
     got = spark.table("daily").select("day", ID, "n_events")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_sliding_counts_equal_batch(spark, tmp_path):
+    log = activity_filter(logs.short_log(spark, SMALL))
+    log.write.parquet(f"{tmp_path}/log")
+    live = spark.readStream.schema(log.schema).parquet(f"{tmp_path}/log")
+    query = (
+        sliding_activity(live, 5).writeStream.outputMode("complete").format("memory").queryName("sliding")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("ahead")
+    wanted = log.select(F.to_date(TIME).alias("day"), ID, ahead).groupBy(F.expr("date_add(day, ahead)").alias("last_day"), ID)
+    got = spark.table("sliding").select("last_day", ID, "n_events")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.agg(F.count("*").alias("n_events")).collect()))
