@@ -26,7 +26,8 @@ KINDS = ("email", "ip", "card", "phone")
 WORD = r"\p{L}{3,}"
 CONTEXT_WORDS = 5
 CONTEXT_CHARS = 200
-LEAST_CONTEXTS = 3
+#: Contexts at the entity's base rate that are added to those of each term: few contexts prove little, none is left out.
+PSEUDO_CONTEXTS = 1.0
 #: Parts of an entity's information from which a term is generalised, and from which it is removed.
 GENERALISE, REMOVE = 0.8, 0.95
 _SPAN = "array<struct<start: long, end: long, value: string>>"
@@ -121,24 +122,29 @@ def term_documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
 
 
-def disclosing_terms(contexts: DataFrame, terms: DataFrame, total: int, least: int = LEAST_CONTEXTS, part: float = GENERALISE) -> DataFrame:
-    """(entity, term, disclosed): the part of the entity's information that the term gives, where it reaches ``part``."""
+def disclosing_terms(contexts: DataFrame, terms: DataFrame, total: int, part: float = GENERALISE) -> DataFrame:
+    """(entity, term, disclosed): the part of the entity's information that the term gives, where it reaches ``part``.
+
+    Pairs of a single context are rated too. Against chance the entity's share of a term is drawn to the entity's share of all texts.
+    """
     distinct = contexts.select("entity", "terms", "mark").dropDuplicates(["entity", "mark"])
     entities = distinct.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     pairs = (
         distinct.select("entity", F.explode(F.array_distinct("terms")).alias("term")).groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= least)
+        .agg(F.count(F.lit(1)).alias("n_both"))
     )
     joined = pairs.join(entities, "entity").join(terms, "term")
     # A term can stand in more contexts than documents; a share is at most one.
     within = F.greatest("documents", "n_both")
     information = F.log2(F.lit(float(max(total, 1))) / F.col("n_entity"))
-    gained = F.log2(F.lit(float(max(total, 1))) * F.col("n_both") / (F.col("n_entity") * within))
+    base = F.col("n_entity") / F.lit(float(max(total, 1)))
+    smoothed = (F.col("n_both") + PSEUDO_CONTEXTS * base) / (within + PSEUDO_CONTEXTS)
+    gained = F.log2(smoothed / base)
     told = F.when(information > 0, gained / information).otherwise(F.lit(0.0))
     return joined.withColumn("disclosed", told).where(F.col("disclosed") >= part).select("entity", "term", "disclosed")
 
 
-def personal_data(docs: DataFrame, least: int = LEAST_CONTEXTS, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def personal_data(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """The columns of ``docs`` and email, ip, card, phone, term (arrays of start, end, value) and sanitised.
 
     Offsets are code points, end exclusive. ``sanitised`` is the text with each protected span replaced by its kind, general terms by
@@ -153,7 +159,7 @@ def personal_data(docs: DataFrame, least: int = LEAST_CONTEXTS, generalise: floa
     # Rows get a number that stays, so rows that repeat an id are apart; the patterns are run once.
     found = stored(flagged.withColumn("_row", F.monotonically_increasing_id()))
     contexts = stored(_contexts(found, text))
-    told = disclosing_terms(contexts, term_documents(found), found.count(), least, generalise)
+    told = disclosing_terms(contexts, term_documents(found), found.count(), generalise)
     of_rows = contexts.select("_row", "entity").distinct()
     term = F.struct(F.col("term").alias("term"), (F.col("disclosed") >= remove).alias("remove"))
     by_entity = told.groupBy("entity").agg(F.collect_list(term).alias("_terms"))
