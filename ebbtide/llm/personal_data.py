@@ -3,7 +3,8 @@
 Emails, addresses, card and phone numbers are found by patterns; these are the protected entities. Which terms reveal them is estimated
 from the corpus: a term stands in the context of an entity (a few words to both sides), and the pointwise mutual information of
 term and entity, over the information of the entity itself, is the part of the entity that the term discloses (1: who reads
-the term knows the entity). Contexts that are copies of each other count once. A term whose share reaches a threshold is marked in the documents
+the term knows the entity). Shares are counted in rows, so copies change numerator and
+denominator alike; as proof against chance, contexts that are copies of each other count once. A term whose share reaches a threshold is marked in the documents
 that hold the entity: removed if it tells nearly all, else generalised.
 
 The patterns are written so that long runs of digits or letters cost linear time and no stack: runs are possessive, and a
@@ -127,20 +128,19 @@ def disclosing_terms(contexts: DataFrame, terms: DataFrame, total: int, part: fl
 
     Pairs of a single context are rated too. Against chance the entity's share of a term is drawn to the entity's share of all texts.
     """
-    distinct = contexts.select("entity", "terms", "mark").dropDuplicates(["entity", "mark"])
-    entities = distinct.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    pairs = (
-        distinct.select("entity", F.explode(F.array_distinct("terms")).alias("term")).groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("n_both"))
-    )
+    total = float(max(total, 1))
+    entities = contexts.groupBy("entity").agg(F.count_distinct("_row").alias("n_entity"))
+    # A row may hold an entity many times, and a context in many copies.
+    each = contexts.select("_row", "entity", "mark", F.explode(F.array_distinct("terms")).alias("term"))
+    pairs = each.groupBy("entity", "term").agg(F.count_distinct("_row").alias("n_both"), F.count_distinct("mark").alias("n_contexts"))
     joined = pairs.join(entities, "entity").join(terms, "term")
-    # A term can stand in more contexts than documents; a share is at most one.
-    within = F.greatest("documents", "n_both")
-    information = F.log2(F.lit(float(max(total, 1))) / F.col("n_entity"))
-    base = F.col("n_entity") / F.lit(float(max(total, 1)))
-    smoothed = (F.col("n_both") + PSEUDO_CONTEXTS * base) / (within + PSEUDO_CONTEXTS)
-    gained = F.log2(smoothed / base)
-    told = F.when(information > 0, gained / information).otherwise(F.lit(0.0))
+    # Shares are of rows, copies among them on both sides; how far a share is trusted depends on different contexts only.
+    share = F.col("n_both") / F.greatest("documents", "n_both")
+    base = F.col("n_entity") / F.lit(total)
+    proof = F.least("n_contexts", "n_both")
+    smoothed = (proof + PSEUDO_CONTEXTS * base) / (proof / share + PSEUDO_CONTEXTS)
+    information = -F.log2(base)
+    told = F.when(information > 0, F.log2(smoothed / base) / information).otherwise(F.lit(0.0))
     return joined.withColumn("disclosed", told).where(F.col("disclosed") >= part).select("entity", "term", "disclosed")
 
 

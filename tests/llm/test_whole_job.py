@@ -16,3 +16,11 @@ def test_a_term_beside_an_entity_of_one_context_is_marked(spark):
     out = _marked(spark, texts)
     assert {"zebrafish"} <= {s.value for s in out[0].term} and not {"the", "keeper", "writes", "every", "day"} & {s.value for s in out[0].term}
     assert "zebrafish" not in out[0].sanitised and all(out[i].term == [] for i in range(1, len(texts)))
+
+
+def test_copies_do_not_hide_what_discloses_an_entity(spark):
+    own = [f"note {w} zebrafish mail ann@corp.com or call {w}" for w in ("alpha", "bravo", "carol")]
+    others = [f"note about call and mail {chr(97 + i // 26) * 4}{chr(97 + i % 26)}" for i in range(300)]
+    for copies in (1, 20):
+        out = _marked(spark, own * copies + others)
+        assert "zebrafish" in {s.value for s in out[0].term} and "mail" not in {s.value for s in out[0].term}
