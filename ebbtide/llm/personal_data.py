@@ -124,7 +124,7 @@ def term_documents(docs: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(contexts: DataFrame, terms: DataFrame, total: int, part: float = GENERALISE) -> DataFrame:
-    """(entity, term, disclosed): the part of the entity's information that the term gives, where it reaches ``part``.
+    """(entity, term, disclosed, documents): the part of the entity's information that the term gives, where it reaches ``part``.
 
     Pairs of a single context are rated too. Against chance the entity's share of a term is drawn to the entity's share of all texts.
     """
@@ -133,7 +133,12 @@ def disclosing_terms(contexts: DataFrame, terms: DataFrame, total: int, part: fl
     # A row may hold an entity many times, and a context in many copies.
     each = contexts.select("_row", "entity", "mark", F.explode(F.array_distinct("terms")).alias("term"))
     pairs = each.groupBy("entity", "term").agg(F.count_distinct("_row").alias("n_both"), F.count_distinct("mark").alias("n_contexts"))
-    joined = pairs.join(entities, "entity").join(terms, "term")
+    pairs = stored(pairs)
+    # An entity can have very many terms, and a term stand beside very many entities.
+    spread = F.concat(F.lit("#"), F.col("entity"), F.lit("#"), F.col("term"))
+    of_entity = stored(pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("_pairs")).join(entities, "entity"))
+    of_term = stored(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("_beside")).join(terms, "term"))
+    joined = join_hot(join_hot(pairs, of_entity, "entity", "_pairs", spread), of_term, "term", "_beside", spread).where("documents is not null")
     # Shares are of rows, copies among them on both sides; how far a share is trusted depends on different contexts only.
     share = F.col("n_both") / F.greatest("documents", "n_both")
     base = F.col("n_entity") / F.lit(total)
@@ -141,7 +146,7 @@ def disclosing_terms(contexts: DataFrame, terms: DataFrame, total: int, part: fl
     smoothed = (proof + PSEUDO_CONTEXTS * base) / (proof / share + PSEUDO_CONTEXTS)
     information = -F.log2(base)
     told = F.when(information > 0, F.log2(smoothed / base) / information).otherwise(F.lit(0.0))
-    return joined.withColumn("disclosed", told).where(F.col("disclosed") >= part).select("entity", "term", "disclosed")
+    return joined.withColumn("disclosed", told).where(F.col("disclosed") >= part).select("entity", "term", "disclosed", "documents")
 
 
 def personal_data(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
@@ -161,12 +166,15 @@ def personal_data(docs: DataFrame, generalise: float = GENERALISE, remove: float
     contexts = stored(_contexts(found, text))
     told = disclosing_terms(contexts, term_documents(found), found.count(), generalise)
     of_rows = contexts.select("_row", "entity").distinct()
-    term = F.struct(F.col("term").alias("term"), (F.col("disclosed") >= remove).alias("remove"))
-    by_entity = told.groupBy("entity").agg(F.collect_list(term).alias("_terms"))
-    rows_of = of_rows.groupBy("entity").agg(F.count(F.lit(1)).alias("_rows"))
-    sized = stored(by_entity.join(rows_of, "entity"))
-    met = join_hot(of_rows, sized, "entity", "_rows", F.concat(F.lit("#"), F.col("_row").cast("string"))).where("_terms is not null")
-    by_row = met.groupBy("_row").agg(F.flatten(F.collect_list("_terms")).alias("_terms"))
+    # The words of a row meet the entities they disclose, and those the entities of the row: no row gets more terms than it has words.
+    word = F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))))
+    of_words = found.where("_any").select("_row", word.alias("term"))
+    entity = F.struct("entity", (F.col("disclosed") >= remove).alias("remove"))
+    sized = stored(told.groupBy("term").agg(F.collect_list(entity).alias("_entities"), F.max("documents").alias("_rows")))
+    met = join_hot(of_words, sized, "term", "_rows", F.concat(F.lit("#"), F.col("_row").cast("string"))).where("_entities is not null")
+    each = met.select("_row", "term", F.explode("_entities").alias("_e")).select("_row", "term", "_e.entity", "_e.remove")
+    here = each.join(of_rows, ["_row", "entity"]).groupBy("_row", "term").agg(F.max("remove").alias("remove"))
+    by_row = here.groupBy("_row").agg(F.collect_list(F.struct("term", "remove")).alias("_terms"))
     wanted = F.transform("_terms", lambda t: t["term"])
     gone = F.transform(F.filter("_terms", lambda t: t["remove"]), lambda t: t["term"])
     # Words inside a protected span are covered by it already.

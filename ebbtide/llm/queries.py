@@ -52,6 +52,7 @@ def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in kinds],
         F.sha2(personal_data.span_text(kinds), 256).alias("base_sha256"),
         personal_data.span_text({**kinds, "term": "term"}).alias("spans"), F.size("term").cast("long").alias("n_term"),
+        F.sha2(F.col("sanitised"), 256).alias("sanitised_sha256"), F.length("sanitised").cast("long").alias("sanitised_chars"),
     )
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import personal_data
+import hashlib
+
+from ebbtide.llm import personal_data, queries
 
 
 def _marked(spark, texts):
@@ -24,3 +26,11 @@ def test_copies_do_not_hide_what_discloses_an_entity(spark):
     for copies in (1, 20):
         out = _marked(spark, own * copies + others)
         assert "zebrafish" in {s.value for s in out[0].term} and "mail" not in {s.value for s in out[0].term}
+
+
+def test_the_personal_data_query_carries_the_sanitised_text(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    want = {r.doc_id: (hashlib.sha256(r.sanitised.encode()).hexdigest(), len(r.sanitised)) for r in personal_data.personal_data(docs).collect()}
+    rows = queries.all_queries()["op3_personal_data"](spark, folder).collect()
+    assert {r.doc_id: (r.sanitised_sha256, r.sanitised_chars) for r in rows} == want
