@@ -35,8 +35,9 @@ LEVELS = 3
 SMALL = 128
 BLOCK = 512
 HASHES = 64
-#: Equal sketch places, of HASHES, from which a pair is looked at: four deviations below the mean at the threshold.
-SLACK = 4.0
+#: Equal sketch places, of HASHES, from which a pair is looked at: six deviations below the mean at the threshold. All runs test the same
+#: sketch, so what it misses must be far less than what the runs may miss.
+SLACK = 6.0
 CACHE_WORDS = 300_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -45,9 +46,23 @@ _FACTORS = _random.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) +
 _SHIFTS = _random.integers(0, 2**63, HASHES, dtype=np.uint64)
 
 
+def least_places(threshold: float) -> int:
+    """Equal sketch places that a pair needs to be looked at."""
+    return max(0, math.ceil(HASHES * threshold - SLACK * math.sqrt(HASHES * threshold * (1 - threshold))))
+
+
+def sketch_miss(threshold: float = THRESHOLD) -> float:
+    """The chance that the sketches of a pair at the threshold have too few equal places."""
+    return sum(math.comb(HASHES, k) * threshold**k * (1 - threshold) ** (HASHES - k) for k in range(least_places(threshold)))
+
+
 def runs_for(recall: float, threshold: float = THRESHOLD, levels: int = LEVELS) -> int:
-    """Runs after which a pair at the threshold has met with this chance, even if each run splits it to the last level."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - threshold**levels))
+    """Runs after which a pair at the threshold is found with this chance: its sketches pass, and it has met even if each run splits it
+    to the last level."""
+    missed = 1 - recall / (1 - sketch_miss(threshold))
+    if missed <= 0:
+        raise ValueError(f"sketches of {HASHES} places don't reach a recall of {recall}")
+    return math.ceil(math.log(missed) / math.log(1 - threshold**levels))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -175,7 +190,7 @@ _MEMBER = ["group", "sid", "run", "blk", "cross", "size", "seen"]
 
 
 def _likely(threshold: float) -> Callable:
-    least = HASHES * threshold - SLACK * math.sqrt(HASHES * threshold * (1 - threshold))
+    least = least_places(threshold)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 
-from ebbtide.llm import personal_data, queries
+import numpy as np
+import pyarrow as pa
+
+from ebbtide.llm import jaccard_join, personal_data, queries
 
 
 def _marked(spark, texts):
@@ -34,3 +37,14 @@ def test_the_personal_data_query_carries_the_sanitised_text(spark):
     want = {r.doc_id: (hashlib.sha256(r.sanitised.encode()).hexdigest(), len(r.sanitised)) for r in personal_data.personal_data(docs).collect()}
     rows = queries.all_queries()["op3_personal_data"](spark, folder).collect()
     assert {r.doc_id: (r.sanitised_sha256, r.sanitised_chars) for r in rows} == want
+
+
+def test_sketches_and_runs_together_keep_the_recall():
+    pair = np.ones((2, jaccard_join.HASHES), np.uint16)
+    pair[1, :27] = 2  # 37 of 64 places are equal
+    row = {"sid": [1, 2], "group": [5, 5], "run": [0, 0], "blk": [0, 0], "cross": [False, False], "size": [100, 100], "seen": [[7], [7]]}
+    batch = pa.RecordBatch.from_pydict({**row, "sketch": [x.tobytes() for x in pair]})
+    assert sum(b.num_rows for b in jaccard_join._likely(0.8)(iter([batch]))) == 2
+    runs = jaccard_join.runs_for(jaccard_join.RECALL)
+    met = 1 - (1 - 0.8**jaccard_join.LEVELS) ** runs
+    assert met * (1 - jaccard_join.sketch_miss(0.8)) >= jaccard_join.RECALL and jaccard_join.sketch_miss(0.8) < 1e-6
