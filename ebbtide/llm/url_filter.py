@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import ascii_lower, join_hot, stored
+from ebbtide.llm.public_suffixes import SUFFIXES
 
 ALLOW, BLOCK = "allow", "block"
 #: Fixed values of the contract: (host, start of the path, verdict).
@@ -54,12 +55,39 @@ def rule_column(rules: tuple, host: Column, path: Column, of: int | None = None)
     return out
 
 
+def site_of(host: Column) -> Column:
+    """The host without user part, port and dots at the end."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", ""), r"\.+$", "")
+
+
+def _is_address(site: Column) -> Column:
+    return site.rlike(r"^(\[.*\]|[0-9]{1,3}(\.[0-9]{1,3}){3})$")
+
+
+def _labels(site: Column) -> Column:
+    """Labels of the longest public suffix in the table; one where none fits."""
+    out = F.lit(1)
+    for n in sorted({s.count(".") + 1 for s in SUFFIXES}):
+        listed = [s for s in SUFFIXES if s.count(".") + 1 == n]
+        out = F.when(F.substring_index(site, ".", -n).isin(listed), n).otherwise(out)
+    return out
+
+
+def _last(site: Column, n: Column) -> Column:
+    parts = F.split(site, r"\.")
+    return F.array_join(F.slice(parts, F.greatest(F.lit(1), F.size(parts) - n + 1), n), ".")
+
+
 def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+    """All addresses share one suffix."""
+    site = site_of(host)
+    return F.when(_is_address(site), F.lit("(address)")).otherwise(_last(site, _labels(site)))
 
 
 def domain_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+    """One label more than the suffix; an address is a domain of its own."""
+    site = site_of(host)
+    return F.when(_is_address(site), site).otherwise(_last(site, _labels(site) + 1))
 
 
 def strength(counts: DataFrame, bad: str = "bad", n: str = "labelled") -> DataFrame:

@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 
-from ebbtide.llm import jaccard_join, personal_data, queries
+from ebbtide.llm import jaccard_join, personal_data, queries, url_filter
 
 
 def _marked(spark, texts):
@@ -48,3 +48,14 @@ def test_sketches_and_runs_together_keep_the_recall():
     runs = jaccard_join.runs_for(jaccard_join.RECALL)
     met = 1 - (1 - 0.8**jaccard_join.LEVELS) ** runs
     assert met * (1 - jaccard_join.sketch_miss(0.8)) >= jaccard_join.RECALL and jaccard_join.sketch_miss(0.8) < 1e-6
+
+
+def test_domains_are_below_public_suffixes_and_without_ports(spark):
+    want = {
+        "a.shop.co.uk": ("shop.co.uk", "co.uk"), "shop.com.au": ("shop.com.au", "com.au"), "x.school.nsw.edu.au": ("school.nsw.edu.au", "nsw.edu.au"),
+        "co.uk": ("co.uk", "co.uk"), "w.a.com:8080": ("a.com", "com"), "me:x@w.a.com": ("a.com", "com"), "a.com.": ("a.com", "com"), "org": ("org", "org"),
+        "10.1.2.3:80": ("10.1.2.3", "(address)"), "[::1]:80": ("[::1]", "(address)"), "": ("", ""), "w.example.org": ("example.org", "org"),
+    }
+    frame = spark.createDataFrame([(h,) for h in want], "host string")
+    rows = frame.select("host", url_filter.domain_of(frame.host).alias("d"), url_filter.suffix_of(frame.host).alias("s")).collect()
+    assert {r.host: (r.d, r.s) for r in rows} == want
