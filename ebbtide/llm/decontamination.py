@@ -4,7 +4,8 @@ Texts become templates: numbers, units and names inside a sentence are replaced
 lower-cased without marks at the ends. Windows of a template are hashed; those of the benchmark are the build side of a hash join, those
 of the documents probe it batch by batch. A window that is mostly placeholders says little as a template and is hashed with its values. Matched
 windows of a document and an item that lie on one diagonal are an alignment. The slots it covers are checked: one value of the item must
-stand for one value in the document, all the way, where slots of other values at the ends of an alignment may be left out. An item is
+stand for one value in the document, all the way, where slots of other values at the ends of an alignment may be left out. Of an alignment
+that fails this, the verbatim runs of a window or more are kept, and count where they are long enough together. An item is
 found where the alignments cover enough of it.
 
 The build side is sent to the tasks in blocks of items of bounded size, and all documents are run against each block, so a
@@ -177,6 +178,20 @@ def _trimmed(both: list[tuple[int, str, str, str]]) -> list[tuple[int, str, str,
     return both[first:last]
 
 
+def _verbatim(both: list[tuple[int, str, str, str]], least: int) -> list[int]:
+    """Places in runs of at least ``least`` places without a gap or another value."""
+    kept: list[int] = []
+    run: list[int] = []
+    for s, kind, a, b in both:
+        same = not kind or a == b
+        if run and (not same or s != run[-1] + 1):
+            kept += run if len(run) >= least else []
+            run = []
+        if same:
+            run.append(s)
+    return kept + (run if len(run) >= least else [])
+
+
 def leaks_of(text: bytes, bench: Benchmark, templates: Templates, share: float, long_run: int) -> list[tuple]:
     """(item id, words covered, share, kind, start, end) of each item that a text holds; offsets are code points, end exclusive."""
     runs, words, hashes, values = templates.template(text)
@@ -186,19 +201,25 @@ def leaks_of(text: bytes, bench: Benchmark, templates: Templates, share: float,
     found = []
     for item, diagonals in lines.items():
         wanted, covered, changed, places = bench.slots[item], set(), False, []
+        torn, torn_places = set(), []
         for shift, spots in diagonals.items():
             if any(wanted[s][0] for s in spots):
                 ordered = sorted(spots)
                 own = _slots(runs, words[np.array(ordered) + shift])
                 both = [(s, *wanted[s], value) for s, (_, value) in zip(ordered, own)]
                 if not _consistent(both):
-                    both = _trimmed(both)
+                    whole, both = both, _trimmed(both)
                     if not both or not _consistent(both):
+                        if runs_of := _verbatim(whole, bench.window):
+                            torn.update(runs_of)
+                            torn_places += [runs_of[0] + shift, runs_of[-1] + shift]
                         continue
                 changed |= any(kind and a != b for _, kind, a, b in both)
                 spots = {s for s, *_ in both}
             covered |= spots
             places += [min(spots) + shift, max(spots) + shift]
+        if len(covered | torn) >= long_run:
+            covered, places, changed = covered | torn, places + torn_places, changed or bool(torn)
         part = len(covered) / len(wanted)
         if covered and (part >= share or len(covered) >= long_run):
             first, last = words[min(places)], words[max(places)]
@@ -256,7 +277,8 @@ def benchmark_leaks(
     """One row per document row and item found in it: doc_id, item_id, words_found, share, kind (same, changed), start, end.
 
     Items of fewer than ``LEAST_WORDS`` words are not searched. Items shorter than a window are found as a whole. An item counts where
-    at least ``share`` of its words or ``long_run`` words are covered. Windows with more placeholders than words are found with the item's values only.
+    at least ``share`` of its words or ``long_run`` words are covered. Verbatim runs of an alignment with inconsistent slots count towards
+    ``long_run`` only. Windows with more placeholders than words are found with the item's values only.
     Null texts hold nothing, as documents and as items; repeated rows are searched each, repeated items are found each.
     """
     arrow_limits(docs.sparkSession)

@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 
-from ebbtide.llm import jaccard_join, personal_data, queries, url_filter
+from ebbtide.llm import decontamination, jaccard_join, personal_data, queries, url_filter
 
 
 def _marked(spark, texts):
@@ -59,3 +59,16 @@ def test_domains_are_below_public_suffixes_and_without_ports(spark):
     frame = spark.createDataFrame([(h,) for h in want], "host string")
     rows = frame.select("host", url_filter.domain_of(frame.host).alias("d"), url_filter.suffix_of(frame.host).alias("s")).collect()
     assert {r.host: (r.d, r.s) for r in rows} == want
+
+
+def _leaks(item, text):
+    bench, templates = decontamination.Benchmark([(1, item)]), decontamination.Templates()
+    return decontamination.leaks_of(text.encode(), bench, templates, 0.5, 20)
+
+
+def test_one_inconsistent_value_does_not_hide_a_long_copy():
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59)]
+    words[5] = words[30] = "12"
+    item = " ".join(words)
+    copy = " ".join(words[:30] + ["31"] + words[31:])
+    assert [(x[1], x[3], x[4], x[5]) for x in _leaks(item, f"so {copy} ok")] == [(58, "changed", 3, 3 + len(copy))]
