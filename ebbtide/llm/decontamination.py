@@ -2,7 +2,8 @@
 
 Texts become templates: numbers, units and names inside a sentence are replaced by typed placeholders, all else is
 lower-cased without marks at the ends. Windows of a template are hashed; those of the benchmark are the build side of a hash join, those
-of the documents probe it batch by batch. A window that is mostly placeholders says little as a template and is hashed with its values. Matched
+of the documents probe it batch by batch. A window that is mostly placeholders says little as a template and is hashed both ways; as a template it counts
+where its whole alignment holds enough different words or slots that repeat a value. Matched
 windows of a document and an item that lie on one diagonal are an alignment. The slots it covers are checked: one value of the item must
 stand for one value in the document, all the way, where slots of other values at the ends of an alignment may be left out. Of an alignment
 that fails this, the verbatim runs of a window or more are kept, and count where they are long enough together. An item is
@@ -15,6 +16,7 @@ benchmark of any size is joined whole. Documents are neither shuffled nor joined
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -126,7 +128,7 @@ class Benchmark:
     """The build side: window hashes in order, each with its item and place, by window length and whether values are hashed."""
 
     def __init__(self, items: list[tuple[int, str]], window: int = WINDOW):
-        self.window, self.ids, self.slots, rows = window, [], [], {}
+        self.window, self.ids, self.slots, self.codes, rows = window, [], [], [], {}
         templates = Templates()
         for item_id, text in items:
             runs, words, hashes, values = templates.template(text.encode("utf-8", "replace"))
@@ -138,9 +140,14 @@ class Benchmark:
             self.slots.append(_slots(runs, words))
             literal = np.array([kind == "" for kind, _ in self.slots[-1]], np.int64)
             enough = np.convolve(literal, np.ones(length, np.int64), "valid") * 2 >= length
-            for exact, codes in ((False, hashes), (True, values)):
+            self.codes.append((hashes, length, enough))
+            # Only these places can speak for an alignment; windows without any are found from their neighbours.
+            times = Counter(value for kind, value in self.slots[-1] if kind)
+            speaks = np.array([kind == "" or times[value] > 1 for kind, value in self.slots[-1]], np.int64)
+            some = np.convolve(speaks, np.ones(length, np.int64), "valid") > 0
+            for exact, codes, wanted in ((False, hashes, enough | some), (True, values, ~enough)):
                 own = window_hashes(codes, length)
-                for place in np.flatnonzero(enough != exact).tolist():
+                for place in np.flatnonzero(wanted).tolist():
                     rows.setdefault((length, exact), []).append((int(own[place]), number, place))
         self.tables = {}
         for kind, found in rows.items():
@@ -150,8 +157,8 @@ class Benchmark:
             maybe[(h >> np.uint64(44)).astype(np.int64)] = True
             self.tables[kind] = (h, np.array([f[1:] for f in found], np.int64), maybe)
 
-    def matches(self, hashes: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(item, place in the item, place in the document, length) of each pair of equal windows."""
+    def matches(self, hashes: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int, int, int, bool]]:
+        """(item, place in the item, place in the document, length, whether it counts by itself) of each pair of equal windows."""
         for (length, exact), (table, owners, maybe) in self.tables.items():
             own = window_hashes(values if exact else hashes, length)
             at = np.flatnonzero(maybe[(own >> np.uint64(44)).astype(np.int64)])
@@ -159,7 +166,18 @@ class Benchmark:
             high = np.searchsorted(table, own[at], "right")
             for place, a, b in zip(at[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist()):
                 for item, start in owners[a:b].tolist():
-                    yield item, start, place, length
+                    yield item, start, place, length, exact or bool(self.codes[item][2][start])
+
+    def template_places(self, item: int, shift: int, hashes: np.ndarray) -> set[int]:
+        """Places of the item in windows of its template that the document has at this shift."""
+        own, length, _ = self.codes[item]
+        low, high = max(0, -shift), min(len(own), len(hashes) - shift)
+        differ = np.flatnonzero(own[low:high] != hashes[low + shift:high + shift]) + low
+        found: set[int] = set()
+        for a, b in zip([low, *(differ + 1).tolist()], [*differ.tolist(), high]):
+            if b - a >= length:
+                found.update(range(a, b))
+        return found
 
 
 def _consistent(both: list[tuple[int, str, str, str]]) -> bool:
@@ -178,6 +196,21 @@ def _trimmed(both: list[tuple[int, str, str, str]]) -> list[tuple[int, str, str,
     return both[first:last]
 
 
+def _tells(both: list[tuple[int, str, str, str]], length: int) -> bool:
+    """Whether different words and slots that repeat a value are as many as a single window would need words."""
+    words = {a for _, kind, a, _ in both if not kind}
+    slots = [a for _, kind, a, _ in both if kind]
+    return 2 * (len(words) + len(slots) - len(set(slots))) >= length
+
+
+def _accepted(both: list[tuple[int, str, str, str]]) -> list[tuple[int, str, str, str]]:
+    """All or the trimmed alignment, whichever is consistent; else nothing."""
+    if _consistent(both):
+        return both
+    both = _trimmed(both)
+    return both if _consistent(both) else []
+
+
 def _verbatim(both: list[tuple[int, str, str, str]], least: int) -> list[int]:
     """Places in runs of at least ``least`` places without a gap or another value."""
     kept: list[int] = []
@@ -195,27 +228,38 @@ def _verbatim(both: list[tuple[int, str, str, str]], least: int) -> list[int]:
 def leaks_of(text: bytes, bench: Benchmark, templates: Templates, share: float, long_run: int) -> list[tuple]:
     """(item id, words covered, share, kind, start, end) of each item that a text holds; offsets are code points, end exclusive."""
     runs, words, hashes, values = templates.template(text)
+    # Per item and shift the places that windows cover by themselves, and whether others may add to them.
     lines: dict[int, dict[int, set[int]]] = {}
-    for item, start, place, length in bench.matches(hashes, values):
-        lines.setdefault(item, {}).setdefault(place - start, set()).update(range(start, start + length))
+    for item, start, place, length, alone in bench.matches(hashes, values):
+        spots = lines.setdefault(item, {}).setdefault(place - start, set())
+        if alone:
+            spots.update(range(start, start + length))
     found = []
     for item, diagonals in lines.items():
         wanted, covered, changed, places = bench.slots[item], set(), False, []
         torn, torn_places = set(), []
+        wide = {shift: spots | bench.template_places(item, shift, hashes) for shift, spots in diagonals.items()}
+        possible = sum(map(len, wide.values()))
+        if possible < share * len(wanted) and possible < long_run:
+            continue
         for shift, spots in diagonals.items():
-            if any(wanted[s][0] for s in spots):
-                ordered = sorted(spots)
+            every = wide[shift]
+            if any(wanted[s][0] for s in every):
+                ordered = sorted(every)
                 own = _slots(runs, words[np.array(ordered) + shift])
-                both = [(s, *wanted[s], value) for s, (_, value) in zip(ordered, own)]
-                if not _consistent(both):
-                    whole, both = both, _trimmed(both)
-                    if not both or not _consistent(both):
-                        if runs_of := _verbatim(whole, bench.window):
-                            torn.update(runs_of)
-                            torn_places += [runs_of[0] + shift, runs_of[-1] + shift]
-                        continue
+                whole = [(s, *wanted[s], value) for s, (_, value) in zip(ordered, own)]
+                both = _accepted(whole) if len(every) > len(spots) else []
+                if not both or not _tells(both, bench.codes[item][1]):
+                    both = _accepted([x for x in whole if x[0] in spots])
+                if not both:
+                    if spots and (kept := _verbatim(whole, bench.window)):
+                        torn.update(kept)
+                        torn_places += [kept[0] + shift, kept[-1] + shift]
+                    continue
                 changed |= any(kind and a != b for _, kind, a, b in both)
                 spots = {s for s, *_ in both}
+            if not spots:
+                continue
             covered |= spots
             places += [min(spots) + shift, max(spots) + shift]
         if len(covered | torn) >= long_run:
@@ -278,7 +322,8 @@ def benchmark_leaks(
 
     Items of fewer than ``LEAST_WORDS`` words are not searched. Items shorter than a window are found as a whole. An item counts where
     at least ``share`` of its words or ``long_run`` words are covered. Verbatim runs of an alignment with inconsistent slots count towards
-    ``long_run`` only. Windows with more placeholders than words are found with the item's values only.
+    ``long_run`` only. Alignments with few words and few repeated
+    slots are found with the item's values only.
     Null texts hold nothing, as documents and as items; repeated rows are searched each, repeated items are found each.
     """
     arrow_limits(docs.sparkSession)
