@@ -41,23 +41,36 @@ TIME_FORMATS = (
     "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy/MM/dd", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy hh:mm:ss a",
     "MM/dd/yyyy hh:mm a", "MM/dd/yyyy", "yyyy-MM-dd hh:mm:ss a", "yyyy-MM-dd hh:mm a", "yyyyMMdd HH:mm:ss", "yyyyMMdd",
 )
+#: Of a log that writes the day first; tried before the others where the log says so, and after them otherwise.
+DAY_FIRST_FORMATS = (
+    "dd/MM/yyyy HH:mm:ss[.SSSSSS]", "dd/MM/yyyy HH:mm", "dd/MM/yyyy hh:mm:ss[.SSSSSS] a", "dd/MM/yyyy hh:mm a", "dd/MM/yyyy",
+)
+#: Dates with dots have the day first always.
+MORE_FORMATS = (
+    "dd.MM.yyyy HH:mm:ss[.SSSSSS]", "dd.MM.yyyy HH:mm", "dd.MM.yyyy", "MM/dd/yyyy HH:mm:ss.SSSSSS", "yyyy/MM/dd HH:mm:ss.SSSSSS",
+    "yyyyMMdd HH:mm:ss.SSSSSS",
+)
 ZONED_FORMATS = ("yyyy-MM-dd HH:mm Z", "yyyy-MM-dd HH:mm:ss Z")
 
 
-def parse_utc(text: Column) -> Column:
-    """Text to an instant: ISO first, then the other forms; null where it is no time. A zone in the text is honoured."""
+def parse_utc(text: Column, day_first: bool = False) -> Column:
+    """Text to an instant: ISO first, then the other forms; null where it is no time. A zone in the text is honoured.
+
+    ``day_first`` is for logs in which 02/01/2024 is in January; without it only days after the 12th show that the day comes first.
+    """
     has_zone = text.rlike(r":\d{2}(\.\d+)?\s*[A-Za-z+\-]")
     iso = F.when(has_zone, _utc_clock(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
     # Texts of eight digits are dates, not years.
     compact = text.rlike(r"^\s*\d{8}(\s|$)")
     plain = F.trim(text)
     # A clock without a zone reads the same in any zone, so it is parsed with one that is appended.
-    others = [_utc_clock(F.try_to_timestamp(F.concat(plain, F.lit(" +0000")), F.lit(f"{f} Z"))) for f in TIME_FORMATS]
+    forms = (*DAY_FIRST_FORMATS, *TIME_FORMATS, *MORE_FORMATS) if day_first else (*TIME_FORMATS, *MORE_FORMATS, *DAY_FIRST_FORMATS)
+    others = [_utc_clock(F.try_to_timestamp(F.concat(plain, F.lit(" +0000")), F.lit(f"{f} Z"))) for f in forms]
     zoned = [_utc_clock(F.try_to_timestamp(plain, F.lit(f))) for f in ZONED_FORMATS]
     return F.coalesce(F.when(~compact, iso), *zoned, *others)
 
 
-def as_instant(column: Column, kind: T.DataType) -> Column:
+def as_instant(column: Column, kind: T.DataType, day_first: bool = False) -> Column:
     """Bring any column that means a time to a UTC instant."""
     if isinstance(kind, T.TimestampNTZType):
         return column
@@ -65,7 +78,7 @@ def as_instant(column: Column, kind: T.DataType) -> Column:
         return _utc_clock(column)
     if isinstance(kind, T.DateType):
         return column.cast("timestamp_ntz")
-    return parse_utc(column.cast("string"))
+    return parse_utc(column.cast("string"), day_first)
 
 
 def moment_like(kind: T.DataType, moment: datetime) -> Column:

@@ -58,10 +58,11 @@ def csv_missing_to_null(raw: DataFrame) -> DataFrame:
     ])
 
 
-def clean_events(raw: DataFrame, profile: CleaningProfile = LENIENT, as_of: datetime | None = None) -> DataFrame:
+def clean_events(raw: DataFrame, profile: CleaningProfile = LENIENT, as_of: datetime | None = None, day_first: bool = False) -> DataFrame:
     """Typed rows with every required column present. One narrow pass, no shuffle.
 
     ``as_of`` bounds the event time where the profile drops future rows; now, when not given.
+    ``day_first`` tells how the log writes times such as 02/01/2024.
     """
     if not profile.keep_only_known:
         raw = raw.toDF(*[name.lower() for name in raw.columns])
@@ -77,7 +78,7 @@ def clean_events(raw: DataFrame, profile: CleaningProfile = LENIENT, as_of: date
     def tidy(name: str):
         column = F.col(name)
         if name == TIME:
-            return as_instant(column, kinds[name]).alias(name)
+            return as_instant(column, kinds[name], day_first).alias(name)
         if name not in _TEXT:
             return column
         column = strip(column.cast("string"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.config import ID, TIME
-from ebbtide.functions.clock import month_key
+from ebbtide.functions.clock import as_instant, month_key
 
 
 def _profile(df: DataFrame, place: int, stage: str) -> DataFrame:
@@ -42,3 +42,13 @@ def data_quality(raw: DataFrame, stages: dict[str, DataFrame]) -> DataFrame:
             "first_event", "last_event", "n_customers", "n_months", "columns",
         )
     )
+
+
+def with_time_faults(report: DataFrame, raw: DataFrame, day_first: bool = False) -> DataFrame:
+    """``report`` and, for the raw log, null_times (null or blank) and unparsed_times (texts that are no time in any known form)."""
+    field = next(f for f in raw.schema if f.name.lower() == TIME)
+    time = F.col(f"`{field.name}`")
+    missing = time.isNull() | (F.trim(time.cast("string")) == "")
+    unparsed = ~missing & as_instant(time, field.dataType, day_first).isNull()
+    counted = raw.agg(F.count_if(missing).alias("null_times"), F.count_if(unparsed).alias("unparsed_times"))
+    return report.crossJoin(counted)

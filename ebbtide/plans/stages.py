@@ -19,7 +19,7 @@ from ebbtide.models.risk_model import RiskModel
 from ebbtide.operators.activity import activity_filter
 from ebbtide.operators.clean import LENIENT, CleaningProfile, clean_events, normalise_log
 from ebbtide.operators.metrics import average_precision, ranked_scores, roc_auc
-from ebbtide.operators.quality import data_quality
+from ebbtide.operators.quality import data_quality, with_time_faults
 from ebbtide.operators.snapshots import SnapshotCalendar, calendar_of, labelled_counts, observed_range, pooled_snapshots
 from ebbtide.plans import scoring_run, training
 from ebbtide.sources.activity_store import window_of, write_by_month
@@ -28,12 +28,12 @@ from ebbtide.sources.sinks import write_csv, write_json, write_parquet
 
 
 def clean_stage(spark: SparkSession, raw_csv: str, cleaned: str, profile: CleaningProfile = LENIENT,
-                as_of: datetime | None = None) -> DataFrame:
-    """Raw CSV to the cleaned log. Returns the row accounting, read from what was stored."""
+                as_of: datetime | None = None, day_first: bool = False) -> DataFrame:
+    """Raw CSV to the cleaned log. Returns the row accounting, read from what was stored, and the null and the unparsed times."""
     require_path(spark, raw_csv, "the raw log is the first input")
     raw = read_raw_csv(spark, raw_csv, all_columns=not profile.keep_only_known)
-    write_parquet(clean_events(raw, profile, as_of), cleaned)
-    return data_quality(raw, {"clean": spark.read.parquet(cleaned)})
+    write_parquet(clean_events(raw, profile, as_of, day_first), cleaned)
+    return with_time_faults(data_quality(raw, {"clean": spark.read.parquet(cleaned)}), raw, day_first)
 
 
 def activity_stage(spark: SparkSession, cleaned: str, activity: str) -> DataFrame:
