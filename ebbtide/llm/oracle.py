@@ -145,8 +145,26 @@ SELECT doc_id, size, source_size, target,
 FROM rated"""
 
 
+_TERMS = f"regexp_extract_all({_LOWER.format('coalesce(text, {0})')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')".format("''")
+
+RANKED = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+total AS (SELECT count(*) FILTER (len(ts) > 0) AS nd, sum(len(ts))::BIGINT AS nt FROM docs),
+tf AS (SELECT r, doc_id, len(ts) AS n, t, count(*) AS tf FROM (SELECT r, doc_id, ts, unnest(ts) AS t FROM docs) GROUP BY ALL),
+wanted AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark)),
+weighted AS (
+  SELECT t, floor(1000 * ln((2 * any_value(nd) + 2) / CAST(2 * count(*) + 1 AS DOUBLE)))::BIGINT AS w FROM tf, total GROUP BY t
+), scored AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // nt))))::BIGINT AS score
+  FROM tf JOIN weighted USING (t) JOIN wanted USING (t), total GROUP BY item_id, r, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op4_chat_formatting": chat_sql(), "op6_line_dedup": LINES, "op7_exact_dedup": EXACT,
-        "op9_url_reputation": url_sql(), "op10_source_mix": mix_sql(),
+        "op9_url_reputation": url_sql(), "op10_source_mix": mix_sql(), "op11_lexical_search": RANKED,
     }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import chat, decontamination, exact_dedup, jaccard_join, line_dedup, mixing, personal_data, token_counts, toxicity, url_filter
+from ebbtide.llm import (
+    chat, decontamination, exact_dedup, jaccard_join, lexical_search, line_dedup, mixing, personal_data, token_counts, toxicity, url_filter,
+)
 from ebbtide.llm.common import stored, table, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,3 +120,9 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     sized = stored(docs.select("doc_id", "source", mixing.word_count(text_or_empty()).alias("size")))
     mixed = mixing.mix(sized, size="size")
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@registered
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lexical_search.lexical_search(docs, table(spark, folder, "benchmark").select("item_id", "text"))
