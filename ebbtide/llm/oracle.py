@@ -163,8 +163,48 @@ weighted AS (
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
 
 
+#: CRC-32 (polynomial 0xEDB88320) of the bytes of a number's digits: each byte is followed by eight shifts, written -1.
+_CRC = """xor(CAST(4294967295 AS BIGINT), list_reduce([CAST(4294967295 AS BIGINT)] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda d: [CAST(ascii(d) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, CAST(3988292384 AS BIGINT) * (c & 1)) END))"""
+
+#: Pairs of neighbouring words that are equal q words apart, without a gap, are a stretch of period q; it is a run unless a stretch of a
+#: smaller period has all of it.
+RUNS = f"""
+WITH given AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws, {_CRC} AS h FROM documents
+), sized AS (SELECT *, len(ws) AS n, h // 10 AS g, h % 10 = 0 AND len(ws) > 0 AS changed FROM given),
+placed AS (SELECT *, CASE WHEN changed THEN g % n ELSE 0 END AS a FROM sized),
+period AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM placed),
+words AS (
+  SELECT r, i, CASE WHEN changed AND i >= a THEN ws[a + (i - a) % p + 1] ELSE ws[i + 1] END AS w
+  FROM (SELECT *, unnest(range(n)) AS i FROM period)
+), pairs AS (SELECT r, i, w || ' ' || lead(w) OVER (PARTITION BY r ORDER BY i) AS ww FROM words),
+equal AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM pairs x JOIN pairs y ON x.r = y.r AND x.ww = y.ww AND y.i > x.i
+  JOIN sized s ON s.r = x.r WHERE 4 * (y.i - x.i) <= s.n
+), islands AS (
+  SELECT r, q, min(i) AS start, count(*) + 1 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM equal) GROUP BY r, q, island
+  HAVING count(*) + 1 + q >= greatest(6, 4 * q)
+), runs AS (
+  SELECT * FROM islands x WHERE NOT EXISTS (
+    SELECT 1 FROM islands y WHERE y.r = x.r AND y.q < x.q AND y.start <= x.start AND y.start + y.length >= x.start + x.length)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY CAST(length AS DOUBLE) / q DESC, start, q) AS place FROM runs
+), listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines FROM runs GROUP BY r
+), kept AS (
+  SELECT r, string_agg(w, ' ' ORDER BY i) AS t FROM words WHERE NOT EXISTS (
+    SELECT 1 FROM runs WHERE runs.r = words.r AND words.i >= runs.start + runs.q AND words.i < runs.start + runs.length) GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, q AS period, 1000 * length // q AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM given LEFT JOIN listed USING (r) LEFT JOIN kept USING (r) LEFT JOIN ranked ON ranked.r = given.r AND place = 1"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op4_chat_formatting": chat_sql(), "op6_line_dedup": LINES, "op7_exact_dedup": EXACT,
-        "op9_url_reputation": url_sql(), "op10_source_mix": mix_sql(), "op11_lexical_search": RANKED,
+        "op9_url_reputation": url_sql(), "op10_source_mix": mix_sql(), "op11_lexical_search": RANKED, "op12_periodic_runs": RUNS,
     }

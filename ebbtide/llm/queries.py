@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm import (
-    chat, decontamination, exact_dedup, jaccard_join, lexical_search, line_dedup, mixing, personal_data, token_counts, toxicity, url_filter,
+    chat, decontamination, exact_dedup, hyperminhash, jaccard_join, lexical_search, line_dedup, mixing, periodic_runs,
+    personal_data, token_counts, toxicity, url_filter,
 )
 from ebbtide.llm.common import stored, table, text_or_empty
 
@@ -126,3 +127,34 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return lexical_search.lexical_search(docs, table(spark, folder, "benchmark").select("item_id", "text"))
+
+
+def _part_repeated(text: Column, doc_id: Column) -> Column:
+    """The contract's input: of a tenth of the documents, chosen by a hash of the id, the words from one place on repeat a stretch."""
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, h = F.size(words), F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    a = F.pmod(g, n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+    copies = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), copies)), F.lit(1), n - a)
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")).otherwise(text)
+
+
+@registered
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(docs, _part_repeated(text_or_empty(), F.col("doc_id")))
+    best = periodic_runs.strongest(F.col("runs"))
+    return found.withColumn("best", best).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic_runs.run_text(F.col("runs")), 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
+@registered
+def op13_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = hyperminhash.with_components(*hyperminhash.near_classes(docs))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
