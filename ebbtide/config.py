@@ -129,7 +129,7 @@ COUNT_PREFIXES = (
 
 @dataclass(frozen=True)
 class BoostedSettings:
-    """Gradient-boosted trees. Leaf-wise growth and leaf penalties have no MLlib form."""
+    """Gradient-boosted trees of MLlib, which grow by level, without leaf penalties."""
 
     # Training parameters.
     rounds: int = 500
@@ -144,6 +144,28 @@ class BoostedSettings:
     first_rounds: int = 64
 
 
+@dataclass(frozen=True)
+class LeafwiseSettings:
+    """Gradient-boosted trees that grow the best leaf first."""
+
+    # Training parameters.
+    rounds: int = 500
+    patience: int = 50
+    learning_rate: float = 0.05
+    leaves: int = 31
+    depth: int = 6
+    column_fraction: float = 0.8
+    row_fraction: float = 0.8
+    bag_every: int = 5
+    rows_per_leaf: int = 100
+    l1: float = 0.1
+    l2: float = 0.1
+    seed: int = 42
+    #: Bins of a feature (at most 255), and the least sum of second derivatives of a leaf.
+    bins: int = 255
+    least_hessian: float = 1e-3
+
+
 @dataclass(frozen=True)
 class LinearSettings:
     """Logistic model with sigmoid calibration over folds."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,38 +36,87 @@ def _utc_clock(moment: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(moment), epoch)
 
 
-#: Forms beside ISO in which logs write times, tried in this order: month before day where both are possible.
-TIME_FORMATS = (
-    "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy/MM/dd", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy hh:mm:ss a",
-    "MM/dd/yyyy hh:mm a", "MM/dd/yyyy", "yyyy-MM-dd hh:mm:ss a", "yyyy-MM-dd hh:mm a", "yyyyMMdd HH:mm:ss", "yyyyMMdd",
-)
-#: Of a log that writes the day first; tried before the others where the log says so, and after them otherwise.
-DAY_FIRST_FORMATS = (
-    "dd/MM/yyyy HH:mm:ss[.SSSSSS]", "dd/MM/yyyy HH:mm", "dd/MM/yyyy hh:mm:ss[.SSSSSS] a", "dd/MM/yyyy hh:mm a", "dd/MM/yyyy",
-)
-#: Dates with dots have the day first always.
-MORE_FORMATS = (
-    "dd.MM.yyyy HH:mm:ss[.SSSSSS]", "dd.MM.yyyy HH:mm", "dd.MM.yyyy", "MM/dd/yyyy HH:mm:ss.SSSSSS", "yyyy/MM/dd HH:mm:ss.SSSSSS",
-    "yyyyMMdd HH:mm:ss.SSSSSS",
-)
-ZONED_FORMATS = ("yyyy-MM-dd HH:mm Z", "yyyy-MM-dd HH:mm:ss Z")
+#: Dates of a fixed shape beside ISO, by the place and sign that tells them; a clock may follow, with or without AM or PM.
+_CLOCK = r"^( [0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?( [AP]M)?)?$"
+_SLASHED, _DOTTED, _YEAR_SLASHED = r"^[0-9]{2}/[0-9]{2}/[0-9]{4}", r"^[0-9]{2}\.[0-9]{2}\.[0-9]{4}", r"^[0-9]{4}/[0-9]{2}/[0-9]{2}"
+_COMPACT = r"^[0-9]{8}(\s|$)"
+
+
+def _whole_day(clock: Column) -> Column:
+    """A clock with AM or PM as one of 24 hours; others as they are, null where it is none."""
+    hour = F.substring(clock, 2, 2).cast("int")
+    afternoon = F.substring(clock, -2, 2) == "PM"
+    full = F.concat(F.lit(" "), F.lpad((hour % 12 + F.when(afternoon, 12).otherwise(0)).cast("string"), 2, "0"),
+                    F.substr(clock, F.lit(4), F.length(clock) - 6))
+    return (
+        F.when(~clock.rlike(_CLOCK), F.lit(None).cast("string"))
+        .when(~clock.endswith("M"), clock)
+        .when(hour.between(1, 12), full)
+    )
+
+
+def _iso_text(text: Column, day_first: bool) -> Column:
+    """The text in ISO form, by its shape alone: nothing is tried out, so a bad text costs no more than a good one."""
+    piece = lambda start, length: F.substring(text, start, length)
+    rest = lambda start: F.upper(F.substr(text, F.lit(start), F.length(text)))
+    dash = F.lit("-")
+    one, two = piece(1, 2).cast("int"), piece(4, 2).cast("int")
+    by_month = F.concat(piece(7, 4), dash, piece(1, 2), dash, piece(4, 2))
+    by_day = F.concat(piece(7, 4), dash, piece(4, 2), dash, piece(1, 2))
+    # The other order where the first can't be: only days after the 12th show it.
+    slashed = F.when(two <= 12, by_day).when(one <= 12, by_month) if day_first else F.when(one <= 12, by_month).when(two <= 12, by_day)
+    sign, fifth = piece(3, 1), piece(5, 1)
+    # A zone needs seconds before it, and a colon.
+    whole = F.regexp_replace(text, r"^(.{10} [0-9]{2}:[0-9]{2}) ([+-][0-9]{4})$", "$1:00 $2")
+    zoned = F.regexp_replace(whole, r" ([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    return (
+        F.when((fifth == "-") & ~F.upper(piece(-2, 2)).isin("AM", "PM"), zoned)
+        .when(fifth == "-", F.concat(piece(1, 10), _whole_day(rest(11))))
+        .when((fifth == "/") & text.rlike(_YEAR_SLASHED), F.concat(F.translate(piece(1, 10), "/", "-"), _whole_day(rest(11))))
+        .when((sign == "/") & text.rlike(_SLASHED), F.concat(slashed, _whole_day(rest(11))))
+        .when((sign == ".") & text.rlike(_DOTTED), F.concat(by_day, _whole_day(rest(11))))
+        # Texts of eight digits are dates, not years.
+        .when(text.rlike(_COMPACT), F.concat(piece(1, 4), dash, piece(5, 2), dash, piece(7, 2), _whole_day(rest(9))))
+        .otherwise(text)
+    )
 
 
 def parse_utc(text: Column, day_first: bool = False) -> Column:
-    """Text to an instant: ISO first, then the other forms; null where it is no time. A zone in the text is honoured.
+    """Text to an instant; null where it is no time. A zone in the text is honoured.
 
-    ``day_first`` is for logs in which 02/01/2024 is in January; without it only days after the 12th show that the day comes first.
+    ISO is read in all its forms, and dates as 2024/01/31, 20240131, 31.01.2024, 01/31/2024, each with a clock behind it. Where day
+    and month could be exchanged, the month comes first; ``day_first`` is for logs in which 02/01/2024 is in January. A day after the
+    12th shows by itself which number it is. ``day_order`` decides for a whole log.
     """
-    has_zone = text.rlike(r":\d{2}(\.\d+)?\s*[A-Za-z+\-]")
-    iso = F.when(has_zone, _utc_clock(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
-    # Texts of eight digits are dates, not years.
-    compact = text.rlike(r"^\s*\d{8}(\s|$)")
+    iso = _iso_text(F.trim(text), day_first)
+    has_zone = iso.rlike(r":\d{2}(\.\d+)?\s*[A-Za-z+\-]")
+    return F.when(has_zone, _utc_clock(iso.try_cast("timestamp"))).otherwise(iso.try_cast("timestamp_ntz"))
+
+
+def order_marks(text: Column) -> dict[str, Column]:
+    """Tests on texts such as 02/01/2024: the day must come first, the month must come first, or both could and differ."""
     plain = F.trim(text)
-    # A clock without a zone reads the same in any zone, so it is parsed with one that is appended.
-    forms = (*DAY_FIRST_FORMATS, *TIME_FORMATS, *MORE_FORMATS) if day_first else (*TIME_FORMATS, *MORE_FORMATS, *DAY_FIRST_FORMATS)
-    others = [_utc_clock(F.try_to_timestamp(F.concat(plain, F.lit(" +0000")), F.lit(f"{f} Z"))) for f in forms]
-    zoned = [_utc_clock(F.try_to_timestamp(plain, F.lit(f))) for f in ZONED_FORMATS]
-    return F.coalesce(F.when(~compact, iso), *zoned, *others)
+    one, two = F.substring(plain, 1, 2).cast("int"), F.substring(plain, 4, 2).cast("int")
+    shaped = (F.substring(plain, 3, 1) == "/") & plain.rlike(_SLASHED)
+    test = {"day_first": (one > 12) & (two <= 12), "month_first": (one <= 12) & (two > 12), "either": (one <= 12) & (two <= 12) & (one != two)}
+    return {name: F.coalesce(F.when(shaped, t), F.lit(False)) for name, t in test.items()}
+
+
+def day_order(log: DataFrame, column: str) -> DataFrame:
+    """One row about a column of text: how many times must be read with the day or the month first, how many with either, and day_first.
+
+    The day comes first if some times say so and none says the opposite: a log is taken to write all its times in one way.
+    """
+    if not isinstance(log.schema[column].dataType, T.StringType):
+        return log.sparkSession.range(1).select(
+            *[F.lit(0).cast("long").alias(n) for n in ("day_first_times", "month_first_times", "ambiguous_times")], F.lit(False).alias("day_first")
+        )
+    marks = order_marks(F.col(f"`{column}`"))
+    counted = log.agg(
+        F.count_if(marks["day_first"]).alias("day_first_times"), F.count_if(marks["month_first"]).alias("month_first_times"),
+        F.count_if(marks["either"]).alias("ambiguous_times"),
+    )
+    return counted.withColumn("day_first", (F.col("day_first_times") > 0) & (F.col("month_first_times") == 0))
 
 
 def as_instant(column: Column, kind: T.DataType, day_first: bool = False) -> Column:

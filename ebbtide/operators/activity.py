@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.config import ID, KIND, MONTH, REQUIRED, TIME, VOCABULARY, Vocabulary
@@ -10,6 +10,12 @@ from ebbtide.functions.clock import month_key
 from ebbtide.functions.text import strip
 
 
+def is_activity(vocabulary: Vocabulary = VOCABULARY) -> Column:
+    """The test on a kind in lower case."""
+    kind = F.col(KIND)
+    return kind.isin(*vocabulary.exact) | kind.startswith(vocabulary.prefix)
+
+
 def activity_filter(log: DataFrame, vocabulary: Vocabulary = VOCABULARY, respell: bool = False) -> DataFrame:
     """Keep activity rows.
 
@@ -18,8 +24,7 @@ def activity_filter(log: DataFrame, vocabulary: Vocabulary = VOCABULARY, respell
     """
     if respell:
         log = log.withColumn(KIND, F.lower(strip(F.col(KIND).cast("string"))))
-    kind = F.col(KIND)
-    return log.filter(kind.isin(*vocabulary.exact) | kind.startswith(vocabulary.prefix))
+    return log.filter(is_activity(vocabulary))
 
 
 def with_month(log: DataFrame) -> DataFrame:

@@ -86,6 +86,15 @@ def event_tallies(log: DataFrame, anchor: datetime, horizon: Horizon = HORIZON,
     return keyed.groupBy(*keys).agg(*counted)
 
 
+def folded_tallies(tallies: DataFrame, horizon: Horizon = HORIZON) -> DataFrame:
+    """Tallies with everything beyond the lookback in one row per customer, as ``event_tallies`` gives them with ``fold_old``."""
+    age = F.col(OFFSET) - F.col(LATE).cast("int")
+    recent = age < horizon.lookback
+    keys = {c: F.col(c) if c == ID else F.when(recent, F.col(c)) for c in (ID, OFFSET, LATE, KIND)}
+    keyed = tallies.select(*[c.alias(k) for k, c in keys.items()], age.alias("age"), "n")
+    return keyed.groupBy(*keys).agg(F.sum("n").alias("n"), F.min("age").alias(OLD_AGE))
+
+
 def daily_counts(tallies: DataFrame, vocabulary: Vocabulary = VOCABULARY) -> DataFrame:
     """One row per customer and calendar date, with the counts of both parts of the date side by side."""
     sums = []
@@ -186,13 +195,15 @@ def snapshot_features(
     first_step: int = 0,
     last_step: int = 0,
     history: str = "lookback",
+    together: bool = False,
 ) -> DataFrame:
     """Features and outcome of every customer at the snapshots ``anchor - k * step``.
 
     ``history`` says who is a customer of a snapshot: anyone seen within the lookback
     (``"lookback"``), or anyone seen at all up to it (``"full"``, one snapshot only).
     Columns: id, ``snapshot_index``, ``snapshot_time``, the features, the number of
-    events in the outcome window, and the label.
+    events in the outcome window, and the label. ``together`` says that the rows of a customer
+    already lie in one partition, as in a table bucketed by customer; nothing is shuffled then.
     """
     if history not in ("lookback", "full"):
         raise ValueError("history is 'lookback' or 'full'")
@@ -208,7 +219,14 @@ def snapshot_features(
     relevant = log.filter(time <= newest) if full else log.filter((time > oldest) & (time <= newest))
 
     tallies = event_tallies(relevant, anchor, horizon, vocabulary, fold_old=full)
-    daily = daily_counts(_by_customer(tallies), vocabulary)
+    placed = tallies if together else _by_customer(tallies)
+    return features_of_tallies(placed, anchor, horizon, vocabulary, first_step, last_step, full)
+
+
+def features_of_tallies(tallies: DataFrame, anchor: datetime, horizon: Horizon, vocabulary: Vocabulary,
+                        first_step: int, last_step: int, full: bool) -> DataFrame:
+    """The columns of ``snapshot_features`` from ``event_tallies``, which lie together by customer."""
+    daily = daily_counts(tallies, vocabulary)
     if full:
         spread = daily.withColumn(STEP, F.lit(0))
     else:
@@ -237,10 +255,10 @@ def snapshot_features(
 
 
 def customer_features(log: DataFrame, snapshot: datetime, horizon: Horizon = HORIZON,
-                      vocabulary: Vocabulary = VOCABULARY, history: str = "full") -> DataFrame:
+                      vocabulary: Vocabulary = VOCABULARY, history: str = "full", together: bool = False) -> DataFrame:
     """One row per customer: the id and the features at ``snapshot``."""
     known = log.filter(F.col(TIME) <= instant(snapshot))
-    features = snapshot_features(known, snapshot, horizon, vocabulary, history=history)
+    features = snapshot_features(known, snapshot, horizon, vocabulary, history=history, together=together)
     return features.select(ID, *feature_names(horizon, vocabulary))
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.config import ID, TIME
-from ebbtide.functions.clock import as_instant, month_key
+from ebbtide.functions.clock import month_key
+from ebbtide.operators.clean import BAD_TIME, EITHER_ORDER, NO_TIME
 
 
 def _profile(df: DataFrame, place: int, stage: str) -> DataFrame:
@@ -44,11 +48,42 @@ def data_quality(raw: DataFrame, stages: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def with_time_faults(report: DataFrame, raw: DataFrame, day_first: bool = False) -> DataFrame:
-    """``report`` and, for the raw log, null_times (null or blank) and unparsed_times (texts that are no time in any known form)."""
-    field = next(f for f in raw.schema if f.name.lower() == TIME)
-    time = F.col(f"`{field.name}`")
-    missing = time.isNull() | (F.trim(time.cast("string")) == "")
-    unparsed = ~missing & as_instant(time, field.dataType, day_first).isNull()
-    counted = raw.agg(F.count_if(missing).alias("null_times"), F.count_if(unparsed).alias("unparsed_times"))
-    return report.crossJoin(counted)
+def log_quality(flagged: DataFrame, stages: dict[str, Column], columns: dict[str, str]) -> DataFrame:
+    """What ``data_quality`` says, and the time faults of the raw log, in one pass over it.
+
+    ``flagged`` holds all rows in tidy form, ``stages`` tells for each stage in order which rows are left, ``columns`` names what it has. Rows are
+    counted per customer and month, and those rows once by customer and once by month, which gives both distinct counts.
+    """
+    any_stage = reduce(or_, stages.values())
+    keyed = flagged.select(
+        F.when(any_stage, F.col(ID)).alias("customer"), F.when(any_stage, month_key(F.col(TIME))).alias("month"), TIME,
+        NO_TIME, BAD_TIME, EITHER_ORDER, *[F.coalesce(c, F.lit(False)).alias(f"in_{i}") for i, c in enumerate(stages.values())],
+    )
+    faults = {"null_times": NO_TIME, "unparsed_times": BAD_TIME, "ambiguous_times": EITHER_ORDER}
+    places = range(len(stages))
+    inside = lambda i: F.when(F.col(f"in_{i}"), F.col(TIME))
+    grouped = keyed.groupBy("customer", "month").agg(
+        F.count("*").alias("raw"), *[F.count_if(F.col(c)).alias(n) for n, c in faults.items()],
+        *[F.count_if(F.col(f"in_{i}")).alias(f"n_{i}") for i in places],
+        *[F.min(inside(i)).alias(f"first_{i}") for i in places], *[F.max(inside(i)).alias(f"last_{i}") for i in places],
+    )
+    sums = [F.sum(c).alias(c) for c in ("raw", *faults, *(f"n_{i}" for i in places))]
+    ends = [f(f"{n}_{i}").alias(f"{n}_{i}") for i in places for f, n in ((F.min, "first"), (F.max, "last"))]
+    customer, month = F.col("customer"), F.col("month")
+    sides = grouped.groupingSets([[customer], [month]], customer, month).agg(F.grouping("month").alias("of_customer"), *sums, *ends)
+    by_customer = F.col("of_customer") == 1
+    total = lambda c: F.coalesce(F.sum(F.when(by_customer, F.col(c))), F.lit(0)).cast("long").alias(c)
+    one = sides.agg(
+        *[total(c) for c in ("raw", *faults, *(f"n_{i}" for i in places))], *ends,
+        *[F.count_if(by_customer & (F.col(f"n_{i}") > 0) & customer.isNotNull()).alias(f"customers_{i}") for i in places],
+        *[F.count_if(~by_customer & (F.col(f"n_{i}") > 0)).alias(f"months_{i}") for i in places],
+    )
+    lines = []
+    for i, name in enumerate(stages):
+        before = F.col("raw" if i == 0 else f"n_{i - 1}")
+        lines.append(F.struct(
+            F.lit(name).alias("stage"), before.alias("rows_before"), F.col(f"n_{i}").alias("rows_after"),
+            (before - F.col(f"n_{i}")).alias("rows_dropped"), F.col(f"first_{i}").alias("first_event"), F.col(f"last_{i}").alias("last_event"),
+            F.col(f"customers_{i}").alias("n_customers"), F.col(f"months_{i}").alias("n_months"), F.lit(columns[name]).alias("columns"),
+        ))
+    return one.select(F.inline(F.array(*lines)), *faults)

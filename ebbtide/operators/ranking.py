@@ -84,6 +84,30 @@ def running_totals(
     )
 
 
+#: Size of a quantile sketch: the rank of an estimate is off by at most ``sketch_error`` of the rows, with 99 % confidence.
+SKETCH_K = 400
+
+
+def sketch_error(k: int = SKETCH_K) -> float:
+    """Normalised rank error of a sketch of size ``k`` (fixed values of the method's published error curve)."""
+    return 2.296 / k**0.9021
+
+
+def quantile_sketches(df: DataFrame, column: str, by: list[str], k: int = SKETCH_K) -> DataFrame:
+    """One mergeable sketch of a column per group, for example per month: a few kilobytes each, kept beside the data."""
+    return df.groupBy(*by).agg(F.kll_sketch_agg_double(F.col(column).cast("double"), k).alias("sketch"), F.count(column).alias("n_rows"))
+
+
+def sketched_quantiles(sketches: DataFrame, shares: tuple[float, ...], names: tuple[str, ...], by: list[str] | None = None) -> DataFrame:
+    """Estimated quantiles over all given sketches, or per group of them; the data are not read again.
+
+    ``exact_quantiles`` is the exact way. Sketches are merged before the shuffle, so no task gets more than a group's sketches.
+    """
+    merged = sketches.groupBy(*(by or [])).agg(F.kll_merge_agg_double("sketch").alias("sketch"), F.sum("n_rows").alias("n_rows"))
+    picks = [F.kll_sketch_get_quantile_double("sketch", F.lit(s)).alias(n) for s, n in zip(shares, names)]
+    return merged.select(*(by or []), "n_rows", *picks)
+
+
 def exact_quantiles(df: DataFrame, column: str, shares: tuple[float, ...], names: tuple[str, ...],
                     bounded: bool = False, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Linearly interpolated quantiles of a column: one row, one column per share."""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.config import EXTRACT_DIRECTION, EXTRACT_MONTHS, ID, SAMPLE_SIZE, TIME
+from ebbtide.session import ensure_checkpoint_folder
 
 _DIGITS = 4
 
@@ -19,11 +20,12 @@ def _draw(seed: int) -> Column:
 def sampled_customers(log: DataFrame, size: int = SAMPLE_SIZE, seed: int = 42) -> DataFrame:
     """``size`` distinct customers in the order of a hash, the same ones on every run.
 
-    A hash spreads customers evenly, so the first digits of the last one drawn are found
-    from a histogram of at most 65,536 rows. Customers below those digits are all drawn; only the
-    few who share them are ranked in one task, however large the sample is.
+    The log is read once: its distinct customers with their hashes are checkpointed. A hash spreads customers evenly, so the
+    first digits of the last one drawn are found from a histogram of at most 65,536 rows. Customers below those digits are all drawn;
+    only the few who share them are ranked in one task, however large the sample is.
     """
-    drawn = log.select(ID).dropna().distinct().withColumn("draw", _draw(seed))
+    ensure_checkpoint_folder(log.sparkSession)
+    drawn = log.select(ID).dropna().distinct().withColumn("draw", _draw(seed)).checkpoint()
     digits = F.substring("draw", 1, _DIGITS)
     histogram = drawn.groupBy(digits.alias("digits")).agg(F.count("*").alias("n")).orderBy("digits").collect()
     below, last = 0, ""

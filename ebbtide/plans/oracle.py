@@ -12,7 +12,7 @@ from ebbtide.config import (
 )
 from ebbtide.operators.features import feature_names
 from ebbtide.operators.metrics import thresholds
-from ebbtide.plans.queries import EXTRACT_AS_OF, SAMPLE, SHORT
+from ebbtide.plans.queries import EXTRACT_AS_OF, REPLACED, SAMPLE, SHORT
 from ebbtide.sources.sample_logs import RAW_AS_OF
 
 
@@ -248,6 +248,17 @@ _WINDOW = (f"{TIME} > {_OUTCOME_START} - INTERVAL {HORIZON.lookback} DAY AND {TI
 _DRAWN = f"SELECT DISTINCT {ID} FROM long_log ORDER BY md5({ID} || ':42'), {ID} LIMIT {SAMPLE}"
 
 
+#: What a stream of the short log has closed at its end, to the millisecond.
+_WATERMARK = f"(SELECT date_trunc('millisecond', max({TIME})) - INTERVAL 2 DAY FROM activity)"
+_DAY_FIRST = f"""
+written AS (
+  SELECT event_id % 10 AS flaw, CAST(user_id AS VARCHAR) AS {ID}, ts, {_SHORT_KIND} AS {KIND} FROM events)"""
+_BROKEN = f"""
+lines AS (
+  SELECT event_id % 10 AS flaw, CAST(user_id AS VARCHAR) AS {ID}, strftime(ts, '%Y-%m-%d %H:%M:%S') AS {TIME}, {_SHORT_KIND} AS {KIND}
+  FROM events)"""
+
+
 def _strict() -> str:
     def words(c: str, lower: bool = True) -> str:
         text = f"lower(trim({c}, {_SPACE}))"
@@ -279,6 +290,39 @@ def all_sql() -> dict[str, str]:
     return {
         "clean_events": f"WITH {_RAW} SELECT * FROM clean",
         "clean_events_strict": _strict(),
+        "clean_day_first": f"WITH {_DAY_FIRST} SELECT {ID}, CASE flaw WHEN 3 THEN date_trunc('minute', ts) WHEN 4 THEN date_trunc('day', ts) "
+                           f"ELSE date_trunc('second', ts) END::TIMESTAMP AS {TIME}, {KIND} FROM written WHERE flaw NOT IN (1, 2)",
+        "day_order": f"WITH {_DAY_FIRST} SELECT count(*) FILTER (day(ts) > 12) AS day_first_times, 0::BIGINT AS month_first_times, "
+                     f"count(*) FILTER (day(ts) <= 12 AND day(ts) <> month(ts)) AS ambiguous_times, true AS day_first "
+                     f"FROM written WHERE flaw NOT IN (1, 2, 4)",
+        "csv_round_trip": f"WITH {_RAW} SELECT * FROM clean",
+        "quarantined_rows": f"WITH {_BROKEN} SELECT malformed_record, count(*) AS n_rows FROM ("
+                            f"SELECT {ID} || ',' || {TIME} || ',' || {KIND} || ',web' AS malformed_record FROM lines WHERE flaw = 1 "
+                            f"UNION ALL SELECT {ID} || ',on' FROM lines WHERE flaw = 2 "
+                            f"UNION ALL SELECT {TIME} || ',' || {KIND} FROM lines WHERE flaw = 2) GROUP BY malformed_record",
+        "unbroken_rows": f"WITH {_BROKEN} SELECT {_CORE} FROM lines WHERE flaw NOT IN (1, 2)",
+        "bucketed_features": newest(_FEATURES),
+        "bucketed_weak_signal": f"{_SHORT_SCORES} SELECT *, 1 AS {ACTION} FROM silent",
+        "stream_activity": f"WITH {_RAW} SELECT {_CORE} FROM clean WHERE {_IS_ACTIVITY}",
+        "stream_daily_counts": f"WITH {_SHORT} SELECT CAST({TIME} AS DATE) AS day, {ID}, count(*) AS n_events FROM activity "
+                               f"WHERE CAST({TIME} AS DATE) + INTERVAL 1 DAY <= {_WATERMARK} GROUP BY ALL",
+        "stream_sliding_counts": f"WITH {_SHORT} SELECT CAST(d AS DATE) AS last_day, {ID}, count(*) AS n_events FROM activity, "
+                                 f"LATERAL (SELECT unnest(generate_series(CAST({TIME} AS DATE), CAST({TIME} AS DATE) + "
+                                 f"INTERVAL {SHORT.windows[0] - 1} DAY, INTERVAL 1 DAY)) AS d) "
+                                 f"WHERE d + INTERVAL 1 DAY <= {_WATERMARK} GROUP BY ALL",
+        "stream_inactivity": f"""WITH {_SHORT}, gaps AS (
+  SELECT *, lag({TIME}) OVER w IS NULL OR lag({TIME}) OVER w + INTERVAL {SHORT.inactive_flags[0]} DAY < {TIME} AS opens
+  FROM activity WINDOW w AS (PARTITION BY {ID} ORDER BY {TIME})),
+spells AS (SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY {ID} ORDER BY {TIME}) AS spell FROM gaps)
+SELECT {ID}, min({TIME}) AS first_event, max({TIME}) AS last_event, max({TIME}) + INTERVAL {SHORT.inactive_flags[0]} DAY AS inactive_from,
+  count(*) AS n_events FROM spells GROUP BY {ID}, spell
+HAVING max({TIME}) + INTERVAL {SHORT.inactive_flags[0]} DAY <= {_WATERMARK}""",
+        "month_dataset_window": f"{activity} SELECT {_CORE} FROM activity WHERE {_WINDOW}",
+        "replaced_month": f"{activity} SELECT {_CORE} FROM activity WHERE {TIME} > DATE '{REPLACED[0]}' - INTERVAL 40 DAY "
+                          f"AND {TIME} <= DATE '{REPLACED[0]}' + INTERVAL 60 DAY "
+                          f"AND ({KIND} = 'order' OR CAST({TIME} AS DATE) NOT BETWEEN DATE '{REPLACED[0]}' AND DATE '{REPLACED[1]}')",
+        "incremental_features": newest(_FEATURES),
+        "incremental_snapshots": f"{_POOL} SELECT {per_snapshot}, {ID}, {_FEATURES}, {target} FROM features WHERE snapshot_index > 0",
         "data_quality": f"WITH {_RAW}, active AS (SELECT * FROM clean WHERE {_IS_ACTIVITY}) {stages}",
         "time_range": f"{activity} SELECT min({TIME}) AS first_event, max({TIME}) AS last_event FROM activity",
         "activity_filter": f"{activity} SELECT {_CORE} FROM activity",

@@ -3,34 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.config import (
-    BUCKET, EVALUATED_SNAPSHOTS, HORIZON, ID, KIND, PROBABILITY, SNAPSHOT, Horizon,
+    BUCKET, EVALUATED_SNAPSHOTS, HORIZON, ID, KIND, MONTH, PERCENTILE_BOUNDS, PROBABILITY, REQUIRED, SNAPSHOT, TIME,
+    BoostedSettings, Horizon,
 )
+from ebbtide.functions.clock import day_order, instant
 from ebbtide.models.importance import boosted_importance, boosted_splits, linear_importance
 from ebbtide.operators import features as feat
 from ebbtide.operators import snapshots as snap
-from ebbtide.operators.activity import activity_filter, counts_with_share, month_partitions, with_month
-from ebbtide.operators.clean import STRICT, clean_events, csv_missing_to_null
+from ebbtide.operators.activity import activity_filter, counts_with_share, is_activity, month_partitions, with_month
+from ebbtide.operators.clean import BAD_TIME, CLEAN, EITHER_ORDER, NO_TIME, STRICT, clean_events, csv_missing_to_null, flagged_events
 from ebbtide.operators.features import STEP, customer_features, feature_names
 from ebbtide.operators.matrix import column_spread, feature_matrix
 from ebbtide.operators.metrics import (
     average_precision, best_threshold, classification_metrics, ranked_scores, roc_auc, rolling_evaluation,
     threshold_table,
 )
-from ebbtide.operators.quality import data_quality
+from ebbtide.operators.quality import log_quality
+from ebbtide.operators.ranking import quantile_sketches, sketched_quantiles
 from ebbtide.operators.sampling import events_of, extract_recent, sampled_customers
 from ebbtide.operators.scoring import (
     bucket_distribution, recency_distribution, score_table, weak_signal, with_buckets,
 )
+from ebbtide.operators.snapshots import SnapshotCalendar
 from ebbtide.plans import training
 from ebbtide.plans.scoring_run import percentile_scores
+from ebbtide.session import scratch_folder
 from ebbtide.sources import sample_logs as logs
-from ebbtide.sources.activity_store import window_of
+from ebbtide.sources.activity_store import load_events, replace_months, window_of, write_by_month
+from ebbtide.sources.customer_store import write_by_customer
+from ebbtide.sources.readers import MALFORMED, quarantine, read_checked_csv, whole_rows
+from ebbtide.sources.sinks import write_csv
+from ebbtide.sources.tally_store import build_store, changed_months, dates_of, refresh_months, stored_features, stored_snapshots
+from ebbtide.streaming.live_log import appended, daily_activity, delivered_once, inactivity_spells, live_activity, sliding_activity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +48,10 @@ SHORT = Horizon(windows=(3, 6, 9), lookback=9, outcome=1, step=3, inactive_flags
 SAMPLE = 100
 SCORES_PER_RANGE = 5_000
 EXTRACT_AS_OF = date(2001, 8, 1)
+REPLACED = (date(1998, 6, 1), date(1998, 6, 30))
+#: What a tally store learns late, beside the orders of ``REPLACED``: the last days of the log.
+NEW_DAYS = 45
+BUCKETS = 16
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -121,12 +135,48 @@ def clean_log_strict(spark: SparkSession, folder: str) -> DataFrame:
     return clean_events(_raw(spark, folder), STRICT, as_of=logs.RAW_AS_OF)
 
 
+@registered("clean_day_first")
+def clean_day_first(spark: SparkSession, folder: str) -> DataFrame:
+    """A log that writes the day first, which the log itself shows: its ambiguous times are read the same way."""
+    return clean_events(csv_missing_to_null(logs.day_first_text_log(spark, folder)), day_first=None)
+
+
+@registered("day_order")
+def day_order_report(spark: SparkSession, folder: str) -> DataFrame:
+    return day_order(logs.day_first_text_log(spark, folder), TIME)
+
+
+@registered("csv_round_trip")
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw log through a file, cleaned from the whole rows of a checked read."""
+    path = f"{scratch_folder(spark, 'csv')}/raw.csv"
+    write_csv(logs.raw_text_log(spark, folder), path)
+    return clean_events(whole_rows(read_checked_csv(spark, path)))
+
+
+@registered("quarantined_rows")
+def quarantined_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows with too many or too few cells, each with the number of times that it occurs."""
+    path = scratch_folder(spark, "csv")
+    logs.write_lines(logs.broken_log(spark, folder), f"{path}/broken.csv")
+    return quarantine(read_checked_csv(spark, f"{path}/broken.csv"), f"{path}/quarantine").groupBy(MALFORMED).agg(F.count("*").alias("n_rows"))
+
+
+@registered("unbroken_rows")
+def unbroken_rows(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{scratch_folder(spark, 'csv')}/broken.csv"
+    logs.write_lines(logs.broken_log(spark, folder), path)
+    return whole_rows(read_checked_csv(spark, path))
+
+
 @registered("data_quality")
 def data_quality_report(spark: SparkSession, folder: str) -> DataFrame:
-    raw = _raw(spark, folder)
-    cleaned = clean_events(raw)
-    active = activity_filter(cleaned)
-    return data_quality(raw, {"clean": cleaned, "activity": active, "month": with_month(active)})
+    flagged = flagged_events(_raw(spark, folder))
+    core = [c for c in flagged.columns if c not in (CLEAN, NO_TIME, BAD_TIME, EITHER_ORDER)]
+    active = F.col(CLEAN) & is_activity()
+    names = {"clean": core, "activity": core, "month": [*REQUIRED, MONTH]}
+    report = log_quality(flagged, {"clean": F.col(CLEAN), "activity": active, "month": active}, {k: ", ".join(v) for k, v in names.items()})
+    return report.drop("null_times", "unparsed_times", "ambiguous_times")
 
 
 @registered("time_range")
@@ -162,6 +212,31 @@ def load_events_window(spark: SparkSession, folder: str) -> DataFrame:
     return window_of(with_month(activity), start, end)
 
 
+def _stored_months(spark: SparkSession, folder: str) -> str:
+    path = f"{scratch_folder(spark, 'months')}/log"
+    write_by_month(_activity(spark, folder), path)
+    return path
+
+
+@registered("month_dataset_window")
+def month_dataset_window(spark: SparkSession, folder: str) -> DataFrame:
+    """The window of ``load_events_window``, read from a dataset by month."""
+    path = _stored_months(spark, folder)
+    anchor = snap.calendar_of(_activity(spark, folder)).anchor
+    return load_events(spark, path, anchor - timedelta(days=HORIZON.lookback), anchor + timedelta(days=HORIZON.outcome))
+
+
+@registered("replaced_month")
+def replaced_month(spark: SparkSession, folder: str) -> DataFrame:
+    """One month of the dataset is replaced by its orders; it and its neighbours are read back."""
+    path = _stored_months(spark, folder)
+    first, last = REPLACED
+    changed = _activity(spark, folder).where((F.col(KIND) == "order") & (F.to_date(TIME) >= first) & (F.to_date(TIME) <= last))
+    replace_months(changed, path)
+    start = datetime.combine(first, time()) - timedelta(days=40)
+    return load_events(spark, path, start, start + timedelta(days=100))
+
+
 @registered("window_slice")
 def window_slice(spark: SparkSession, folder: str) -> DataFrame:
     activity = _short_activity(spark, folder)
@@ -220,6 +295,94 @@ def customer_features_short(spark: SparkSession, folder: str) -> DataFrame:
     return customer_features(activity, snapshot, SHORT)
 
 
+def _updated_store(spark: SparkSession, folder: str) -> tuple[str, SnapshotCalendar]:
+    """A store that was built without the last days and without the orders of a month long ago, and then brought up to date."""
+    activity = _activity(spark, folder)
+    calendar = snap.calendar_of(activity)
+    path = f"{scratch_folder(spark, 'tallies')}/store"
+    new = F.col(TIME) > instant(calendar.last_event - timedelta(days=NEW_DAYS))
+    late = (F.col(KIND) == "order") & (F.to_date(TIME) >= REPLACED[0]) & (F.to_date(TIME) <= REPLACED[1])
+    build_store(activity.where(~(new | late)), path, calendar.anchor.time())
+    refresh_months(activity, path, changed_months(dates_of(activity.where(new | late))))
+    return path, calendar
+
+
+@registered("incremental_features")
+def incremental_features(spark: SparkSession, folder: str) -> DataFrame:
+    """``customer_features`` from stored daily tallies that were updated by date."""
+    path, calendar = _updated_store(spark, folder)
+    return stored_features(spark, path, calendar.last_event)
+
+
+@registered("incremental_snapshots")
+def incremental_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """``pooled_snapshots`` from the same store."""
+    path, calendar = _updated_store(spark, folder)
+    return stored_snapshots(spark, path, calendar.anchor, 1, calendar.pooled)
+
+
+@registered("bucketed_features")
+def bucketed_features(spark: SparkSession, folder: str) -> DataFrame:
+    """``customer_features`` from a table bucketed by customer, without a shuffle."""
+    path = scratch_folder(spark, "bucketed")
+    log = write_by_customer(_activity(spark, folder), path.rsplit("/", 1)[-1].replace("-", "_"), path, BUCKETS)
+    return customer_features(log, _latest(log), together=True)
+
+
+@registered("bucketed_weak_signal")
+def bucketed_weak_signal(spark: SparkSession, folder: str) -> DataFrame:
+    """``weak_signal`` of two tables bucketed by customer."""
+    tables = {"known": logs.registered_customers(spark, folder), "active": _short_activity(spark, folder)}
+    stored = {}
+    for name, rows in tables.items():
+        path = scratch_folder(spark, name)
+        stored[name] = write_by_customer(rows, path.rsplit("/", 1)[-1].replace("-", "_"), path, BUCKETS)
+    return weak_signal(stored["known"], stored["active"], _latest(stored["active"]))
+
+
+# --- the log as a stream of files ----------------------------------------------------
+
+
+def _as_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows as a stream of files, all of them there already."""
+    path = scratch_folder(spark, "stream")
+    rows.write.parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+def _closed(spark: SparkSession, result: DataFrame) -> DataFrame:
+    """What a stream has closed when all files are read."""
+    path = scratch_folder(spark, "closed")
+    appended(result, f"{path}/rows", f"{path}/progress")
+    return spark.read.schema(result.schema).parquet(f"{path}/rows")
+
+
+@registered("stream_activity")
+def stream_activity(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaning and the activity filter over a stream of raw text."""
+    raw = logs.raw_text_log(spark, folder)
+    return _closed(spark, live_activity(_as_stream(spark, raw)).select(ID, TIME, KIND))
+
+
+@registered("stream_daily_counts")
+def stream_daily_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Days that the watermark has passed."""
+    return _closed(spark, daily_activity(_as_stream(spark, _short_activity(spark, folder))))
+
+
+@registered("stream_sliding_counts")
+def stream_sliding_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return _closed(spark, sliding_activity(_as_stream(spark, _short_activity(spark, folder)), SHORT.windows[0]))
+
+
+@registered("stream_inactivity")
+def stream_inactivity(spark: SparkSession, folder: str) -> DataFrame:
+    """Spells of activity that a day of silence has ended, from a source that delivers a third of its events twice."""
+    log = activity_filter(logs.keyed_short_log(spark, folder))
+    twice = _as_stream(spark, log.unionByName(log.where("event_id % 3 = 0")))
+    return _closed(spark, inactivity_spells(delivered_once(twice, ["event_id"]), SHORT.inactive_flags[0]))
+
+
 # --- labels and snapshots ------------------------------------------------------------
 
 
@@ -301,6 +464,13 @@ def percentile_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return percentile_scores(_scored(customer_features(activity, latest)), latest, bounded=True)
 
 
+@registered("sketched_quantiles")
+def quantiles_of_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """The percentile bounds of all snapshots' scores from one sketch per snapshot; estimates, so there is no SQL form."""
+    sketches = quantile_sketches(_rated(spark, folder), PROBABILITY, [STEP])
+    return sketched_quantiles(sketches, PERCENTILE_BOUNDS, ("p40", "p70", "p90"))
+
+
 @registered("recency_distribution")
 def recency_profile(spark: SparkSession, folder: str) -> DataFrame:
     return recency_distribution(_latest_features(spark, folder))
@@ -395,7 +565,26 @@ def boosted_scores(spark: SparkSession, folder: str) -> DataFrame:
 @registered("gbt_importance")
 def boosted_feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    model = training.train_boosted(data)
+    return training.train_boosted(data).importance(spark)
+
+
+@registered("gbt_rounds")
+def boosted_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    """The area under the curve after each round, which decides how many trees stay."""
+    data = training.training_set(_activity(spark, folder))
+    return training.train_boosted(data).rounds(spark)
+
+
+@registered("level_wise_scores")
+def level_wise_scores(spark: SparkSession, folder: str) -> DataFrame:
+    data = training.training_set(_activity(spark, folder))
+    return training.train_boosted(data, BoostedSettings()).predict(data.test, [ID, HORIZON.target])
+
+
+@registered("level_wise_importance")
+def level_wise_feature_importance(spark: SparkSession, folder: str) -> DataFrame:
+    data = training.training_set(_activity(spark, folder))
+    model = training.train_boosted(data, BoostedSettings())
     return boosted_splits(spark, model).join(boosted_importance(spark, model).withColumnRenamed("importance", "gain"), "feature")
 
 

@@ -8,32 +8,49 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.config import HORIZON, ID, BoostedSettings, Horizon, LinearSettings
+from ebbtide.config import HORIZON, ID, BoostedSettings, Horizon, LeafwiseSettings, LinearSettings
 from ebbtide.models.importance import linear_importance, split_counts
+from ebbtide.models.leafwise import LeafwiseModel
 from ebbtide.models.risk_model import RiskModel
 from ebbtide.operators.activity import activity_filter
-from ebbtide.operators.clean import LENIENT, CleaningProfile, clean_events, normalise_log
+from ebbtide.operators.clean import CLEAN, LENIENT, CleaningProfile, clean_events, decided_order, flagged_events, normalise_log
 from ebbtide.operators.metrics import average_precision, ranked_scores, roc_auc
-from ebbtide.operators.quality import data_quality, with_time_faults
+from ebbtide.operators.quality import data_quality, log_quality
 from ebbtide.operators.snapshots import SnapshotCalendar, calendar_of, labelled_counts, observed_range, pooled_snapshots
 from ebbtide.plans import scoring_run, training
 from ebbtide.sources.activity_store import window_of, write_by_month
-from ebbtide.sources.readers import read_raw_csv, require_path
+from ebbtide.sources.readers import path_exists, read_raw_csv, require_path
 from ebbtide.sources.sinks import write_csv, write_json, write_parquet
 
+Model = RiskModel | LeafwiseModel
+
+
+def load_model(spark: SparkSession, folder: str) -> Model:
+    """A saved model of any kind."""
+    return (LeafwiseModel if path_exists(spark, f"{folder}/leafwise") else RiskModel).load(spark, folder)
+
 
 def clean_stage(spark: SparkSession, raw_csv: str, cleaned: str, profile: CleaningProfile = LENIENT,
-                as_of: datetime | None = None, day_first: bool = False) -> DataFrame:
-    """Raw CSV to the cleaned log. Returns the row accounting, read from what was stored, and the null and the unparsed times."""
+                as_of: datetime | None = None, day_first: bool | None = None) -> DataFrame:
+    """Raw CSV to the cleaned log. Returns the row accounting with the null, unparsed and ambiguous times, and whether the day came first.
+
+    Where ``day_first`` is not given, the whole log decides: the day comes first if some times can't be read otherwise and none
+    says the opposite. ambiguous_times counts times that another order would change.
+    """
     require_path(spark, raw_csv, "the raw log is the first input")
     raw = read_raw_csv(spark, raw_csv, all_columns=not profile.keep_only_known)
+    if day_first is None:
+        day_first = decided_order(raw)
+    as_of = as_of or datetime.now(timezone.utc)
     write_parquet(clean_events(raw, profile, as_of, day_first), cleaned)
-    return with_time_faults(data_quality(raw, {"clean": spark.read.parquet(cleaned)}), raw, day_first)
+    names = {"clean": ", ".join(spark.read.parquet(cleaned).columns)}
+    flagged = flagged_events(raw, profile, as_of, day_first)
+    return log_quality(flagged, {"clean": F.col(CLEAN)}, names).withColumn("day_first", F.lit(day_first))
 
 
 def activity_stage(spark: SparkSession, cleaned: str, activity: str) -> DataFrame:
@@ -64,8 +81,11 @@ def needed_events(log: DataFrame, calendar: SnapshotCalendar, horizon: Horizon =
 
 
 def train_stage(spark: SparkSession, dataset: str, folder: str, kind: str = "boosted", horizon: Horizon = HORIZON,
-                settings: BoostedSettings | LinearSettings | None = None, limit: int = 0) -> RiskModel:
-    """Activity by month to a model with its features, evaluation, importances and run record in ``folder``."""
+                settings: LeafwiseSettings | BoostedSettings | LinearSettings | None = None, limit: int = 0) -> Model:
+    """Activity by month to a model with its features, evaluation, importances and run record in ``folder``.
+
+    ``kind`` is boosted or linear. Boosted trees grow the best leaf first, and with ``BoostedSettings`` by level, as MLlib's do.
+    """
     if kind not in ("boosted", "linear"):
         raise ValueError("kind is 'boosted' or 'linear'")
     require_path(spark, dataset, "run the month stage first")
@@ -75,14 +95,16 @@ def train_stage(spark: SparkSession, dataset: str, folder: str, kind: str = "boo
     data = training.TrainingSet(spark.read.parquet(f"{folder}/training_rows"), calendar, horizon)
     if data.calendar.pooled < 1:
         raise ValueError("no snapshot has enough history for pooled training")
-    if kind == "boosted":
-        settings = settings or BoostedSettings()
-        model = training.train_boosted(data, settings)
-    else:
-        settings = settings or LinearSettings()
-        model = training.train_linear(data, settings)
+    settings = settings or (LeafwiseSettings() if kind == "boosted" else LinearSettings())
+    model = (training.train_boosted if kind == "boosted" else training.train_linear)(data, settings)
     model.save(spark, f"{folder}/model")
-    importance = split_counts(spark, f"{folder}/model", model.features) if kind == "boosted" else linear_importance(spark, model)
+    if isinstance(model, LeafwiseModel):
+        importance = model.importance(spark).select("feature", "importance")
+        write_csv(model.rounds(spark).coalesce(1), f"{folder}/rounds")
+    elif kind == "boosted":
+        importance = split_counts(spark, f"{folder}/model", model.features)
+    else:
+        importance = linear_importance(spark, model)
     write_csv(training.evaluate(model, data), f"{folder}/rolling_eval")
     write_csv(importance.coalesce(1), f"{folder}/feature_importance")
     record = training.run_metadata(data.rows, calendar, horizon, len(model.features))
@@ -104,7 +126,7 @@ def score_stage(spark: SparkSession, folder: str, cleaned: str, activity: str, s
     """Model and logs to the score table, as Parquet and CSV, with the bucket limits beside the model."""
     require_path(spark, activity, "run the activity stage first")
     require_path(spark, f"{folder}/model", "run the train stage first")
-    model = RiskModel.load(spark, f"{folder}/model")
+    model = load_model(spark, f"{folder}/model")
     log = normalise_log(spark.read.parquet(activity))
     latest = observed_range(log)[1]
     known = spark.read.parquet(require_path(spark, cleaned, "run the clean stage first"))

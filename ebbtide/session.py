@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +25,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
     return builder.getOrCreate()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path for tables of this session, in the shared checkpoint folder."""
+    ensure_checkpoint_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/ebbtide-{name}-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_folder(spark: SparkSession) -> None:
     """Use the folder named in ``spark.checkpoint.dir``; make one only on a single machine."""
     context = spark.sparkContext

@@ -13,10 +13,8 @@ from ebbtide.operators.activity import with_month
 from ebbtide.sources.readers import path_exists
 
 
-def write_by_month(log: DataFrame, path: str) -> None:
-    """Replace the dataset at ``path`` with one folder per month.
-
-    ``rebalance`` lets the adaptive planner split a month that is too large for one task
+def _write_months(log: DataFrame, path: str, mode: str) -> None:
+    """``rebalance`` lets the adaptive planner split a month that is too large for one task
     and join small ones. The date column is there for its file statistics: file readers
     skip row groups on dates, but not on zone-free timestamps.
     """
@@ -25,11 +23,34 @@ def write_by_month(log: DataFrame, path: str) -> None:
         dated.hint("rebalance", F.col(MONTH))
         .sortWithinPartitions(MONTH, TIME)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", mode)
         .partitionBy(MONTH)
         .parquet(path)
     )
 
 
+def write_by_month(log: DataFrame, path: str) -> None:
+    """Replace the dataset at ``path`` with one folder per month."""
+    _write_months(log, path, "static")
+
+
+def replace_months(log: DataFrame, path: str) -> None:
+    """Replace the months that ``log`` has rows of; all other months of the dataset stay as they are, unread.
+
+    The new files are written aside and put in place when all tasks are done, so a failed run leaves the old months. ``log`` must not be read
+    from the folders that it replaces: store it first.
+    """
+    _write_months(log, path, "dynamic")
+
+
+def drop_months(spark: SparkSession, path: str, months: list[str]) -> None:
+    """Remove whole months, for example those that a rewritten log has no rows of any more."""
+    for month in months:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MONTH}={month}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    spark.catalog.refreshByPath(path)
+
+
 def months_between(start: datetime, end: datetime) -> list[str]:
     """Every calendar month from one instant to another, as ``yyyy-MM``."""
     start, end = utc_naive(start), utc_naive(end)

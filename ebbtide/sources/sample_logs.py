@@ -51,6 +51,13 @@ def short_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def keyed_short_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The short log with the key of each event."""
+    return table(spark, folder, "events").select(
+        F.col("user_id").cast("string").alias(ID), F.col("ts").alias(TIME), _short_kind().alias(KIND), "event_id"
+    )
+
+
 def registered_customers(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias(ID))
 
@@ -73,6 +80,35 @@ def raw_text_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def day_first_text_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The short log with times such as 31/01/2024 10:00:05; some rows have no time or a text that is none."""
+    flaw = F.pmod("event_id", F.lit(10))
+    written = F.date_format("ts", "dd/MM/yyyy HH:mm:ss")
+    return table(spark, folder, "events").select(
+        F.col("user_id").cast("string").alias(ID),
+        F.when(flaw == 1, "soon").when(flaw == 2, "").when(flaw == 3, F.date_format("ts", "dd/MM/yyyy hh:mm a"))
+        .when(flaw == 4, F.date_format("ts", "dd.MM.yyyy")).otherwise(written).alias(TIME),
+        _short_kind().alias(KIND),
+    )
+
+
+def broken_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The short log as lines of a CSV file under their header; some rows have a cell too many and some are cut in two."""
+    flaw = F.pmod("event_id", F.lit(10))
+    text_time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    cells = [
+        F.col("user_id").cast("string"), F.when(flaw == 2, F.concat(F.lit("on\n"), text_time)).otherwise(text_time),
+        _short_kind(), F.when(flaw == 1, "web"),
+    ]
+    line = F.explode(F.split(F.concat_ws(",", *cells), "\n"))
+    return table(spark, folder, "events").select(line.alias(",".join((ID, TIME, KIND))))
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """A column of lines, its name as the header of each file."""
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "").csv(path)
+
+
 def interactions(spark: SparkSession, folder: str) -> DataFrame:
     """A warehouse fact table with a direction: order lines, those returned being outgoing."""
     direction = F.when(F.col("l_returnflag") == "R", "outgoing").otherwise("incoming")

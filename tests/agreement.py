@@ -23,7 +23,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 _KINDS = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
-    "date": "DATE",
+    "date": "DATE", "boolean": "BOOLEAN",
 }
 
 

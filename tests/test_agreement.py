@@ -23,7 +23,8 @@ def test_query_agrees_with_sql(spark, connection, name):
 def test_only_fitted_models_lack_sql():
     without = set(all_queries()) - set(all_sql())
     assert without == {
-        "gbt_scores", "gbt_importance", "gbt_rolling_eval", "linear_calibrated_scores", "linear_importance",
+        "gbt_scores", "gbt_importance", "gbt_rounds", "gbt_rolling_eval", "level_wise_scores", "level_wise_importance",
+        "linear_calibrated_scores", "linear_importance", "sketched_quantiles",
     }
     assert set(all_sql()) <= set(all_queries())
 
