@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,12 @@ from pyspark.sql.types import BooleanType
 from ebbtide.llm.common import arrow_limits, text_or_empty
 
 WINDOW = 8
-LEAST_WORDS = 4
 LEAST_SHARE = 0.5
 LONG_RUN = 20
+JOINED_WORDS = 3
 BLOCK_BYTES = 16 << 20
-CACHE_WORDS = 300_000
+#: Runs whose codes a worker keeps: so many, and none that is longer.
+CACHE_WORDS, CACHED_BYTES = 300_000, 64
 #: Words that count as units.
 UNITS = frozenset(
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams ounce ounces pound pounds ton tons ml l liter "
@@ -67,8 +69,12 @@ def _code(kind: str, word: str) -> int:
     return 0 if not word else _MARK[kind] if kind else xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")) | 1
 
 
+_KINDS = ("", "number", "unit", "name")
+_PLAIN = re.compile(rb"[a-z]+")
+
+
 class Templates(dict):
-    """Row numbers of runs in four arrays: hash inside a sentence, hash at its start, hash of its value, whether it ends one."""
+    """Row numbers of runs in arrays: code and kind inside a sentence and at its start, hash of the value, whether it ends a sentence."""
 
     def __init__(self):
         super().__init__()
@@ -77,32 +83,85 @@ class Templates(dict):
     def _reset(self) -> None:
         self.clear()
         self.inside, self.first, self.value = (np.zeros(1024, np.uint64) for _ in range(3))
-        self.ends, self.n = np.zeros(1024, bool), 0
+        self.kind_inside, self.kind_first, self.ends, self.n = np.zeros(1024, np.int8), np.zeros(1024, np.int8), np.zeros(1024, bool), 0
+
+    def _grow(self) -> None:
+        for name in ("inside", "first", "value", "kind_inside", "kind_first", "ends"):
+            column = getattr(self, name)
+            setattr(self, name, np.concatenate([column, np.zeros_like(column)]))
 
     def __missing__(self, run: bytes) -> int:
         if self.n == len(self.inside):
-            self.inside, self.first, self.value, self.ends = (
-                np.concatenate([x, np.zeros_like(x)]) for x in (self.inside, self.first, self.value, self.ends)
-            )
-        i, text = self.n, run.decode("utf-8", "replace")
-        inside, first = canonical(text, False), canonical(text, True)
-        self.inside[i], self.first[i], self.value[i] = _code(*inside), _code(*first), _code("", first[1])
-        self.ends[i] = run.endswith(_ENDS)
+            self._grow()
+        i = self.n
+        if _PLAIN.fullmatch(run) and run.decode() not in UNITS:
+            # Most runs: small letters only, the same everywhere.
+            self.inside[i] = self.first[i] = self.value[i] = xxhash.xxh3_64_intdigest(run) | 1
+            self.kind_inside[i] = self.kind_first[i] = 0
+            self.ends[i] = False
+        else:
+            text = run.decode("utf-8", "replace")
+            inside, first = canonical(text, False), canonical(text, True)
+            self.inside[i], self.first[i], self.value[i] = _code(*inside), _code(*first), _code("", first[1])
+            self.kind_inside[i], self.kind_first[i] = _KINDS.index(inside[0]), _KINDS.index(first[0])
+            self.ends[i] = run.endswith(_ENDS)
         self.n += 1
-        self[run] = i
+        if len(run) <= CACHED_BYTES:
+            self[run] = i
         return i
 
-    def template(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """The runs, the places of those that hold a word, their hashes in the template, and the hashes of their values."""
+    def text(self, text: bytes) -> Text:
+        """The runs of a text and what their codes are."""
         if self.n > CACHE_WORDS:
             self._reset()
         runs = text.split()
-        at = np.fromiter(map(self.__getitem__, runs), np.int64, len(runs))
-        starts = np.ones(len(runs), bool)
-        starts[1:] = self.ends[at[:-1]]
-        hashes = np.where(starts, self.first[at], self.inside[at])
-        words = np.flatnonzero(hashes)
-        return runs, words, hashes[words], self.value[at[words]]
+        return Text(self, runs, np.fromiter(map(self.__getitem__, runs), np.int64, len(runs)))
+
+
+class View:
+    """One reading of a text: its codes and values in order, and the first and last run of each place."""
+
+    def __init__(self, text: Text, names_at_starts: bool, joined: bool):
+        table, at = text.table, text.at
+        code, kind = table.inside[at], table.kind_inside[at]
+        if not names_at_starts:
+            starts = np.ones(len(at), bool)
+            starts[1:] = table.ends[at[:-1]]
+            code, kind = np.where(starts, table.first[at], code), np.where(starts, table.kind_first[at], kind)
+        words = np.flatnonzero(code)
+        code, kind, value = code[words], kind[words], table.value[at[words]]
+        self.runs, self.first, self.last, self.codes, self.values, self.kinds = text.runs, words, words, code, value, kind
+        if joined and len(words):
+            head = np.ones(len(words), bool)
+            head[1:] = (kind[1:] == 0) | (kind[1:] != kind[:-1])
+            if not head.all():
+                places = np.flatnonzero(head)
+                within = np.arange(len(words)) - np.repeat(places, np.diff(np.append(places, len(words))))
+                self.first, self.codes, self.kinds = words[places], code[places], kind[places]
+                self.last = words[np.append(places[1:], len(words)) - 1]
+                self.values = np.add.reduceat(value * (within.astype(np.uint64) * np.uint64(2) + np.uint64(1)), places)
+
+    def slots(self, places: Iterable[int]) -> list[tuple[str, str]]:
+        """Kind and value of the given places."""
+        out = []
+        for p in places:
+            found = (canonical(r.decode("utf-8", "replace"), True)[1] for r in self.runs[self.first[p]:self.last[p] + 1])
+            out.append((_KINDS[self.kinds[p]], " ".join(w for w in found if w)))
+        return out
+
+
+#: How texts are read: capitals at a sentence's start as words or as names, and neighbouring slots of one kind apart or as one.
+READINGS = ((False, False), (False, True), (True, True))
+
+
+@dataclass
+class Text:
+    table: Templates
+    runs: list[bytes]
+    at: np.ndarray
+
+    def views(self) -> list[View]:
+        return [View(self, *reading) for reading in READINGS]
 
 
 def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -115,62 +174,67 @@ def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     return (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _slots(runs: list[bytes], words: np.ndarray) -> list[tuple[str, str]]:
-    """Kind and value of each word of the template."""
-    found = []
-    for place in words.tolist():
-        starts = place == 0 or runs[place - 1].endswith(_ENDS)
-        found.append(canonical(runs[place].decode("utf-8", "replace"), starts))
-    return found
-
-
 class Benchmark:
-    """The build side: window hashes in order, each with its item and place, by window length and whether values are hashed."""
+    """The build side: window hashes in order, each with its item and place, by reading, window length and whether values are hashed."""
 
     def __init__(self, items: list[tuple[int, str]], window: int = WINDOW):
-        self.window, self.ids, self.slots, self.codes, rows = window, [], [], [], {}
+        self.window, self.ids = window, []
+        self.slots: list[list] = [[] for _ in READINGS]
+        self.codes: list[list] = [[] for _ in READINGS]
+        rows: dict[tuple, list] = {}
         templates = Templates()
         for item_id, text in items:
-            runs, words, hashes, values = templates.template(text.encode("utf-8", "replace"))
-            if len(words) < LEAST_WORDS:
+            views = templates.text(text.encode("utf-8", "replace")).views()
+            if not len(views[0].codes):
                 continue
-            length = min(window, len(words))
             number = len(self.ids)
             self.ids.append(item_id)
-            self.slots.append(_slots(runs, words))
-            literal = np.array([kind == "" for kind, _ in self.slots[-1]], np.int64)
-            enough = np.convolve(literal, np.ones(length, np.int64), "valid") * 2 >= length
-            self.codes.append((hashes, length, enough))
-            # Only these places can speak for an alignment; windows without any are found from their neighbours.
-            times = Counter(value for kind, value in self.slots[-1] if kind)
-            speaks = np.array([kind == "" or times[value] > 1 for kind, value in self.slots[-1]], np.int64)
-            some = np.convolve(speaks, np.ones(length, np.int64), "valid") > 0
-            for exact, codes, wanted in ((False, hashes, enough | some), (True, values, ~enough)):
-                own = window_hashes(codes, length)
-                for place in np.flatnonzero(wanted).tolist():
-                    rows.setdefault((length, exact), []).append((int(own[place]), number, place))
-        self.tables = {}
-        for kind, found in rows.items():
+            for reading, view in enumerate(views):
+                self._add(reading, number, view, rows)
+        self.tables: list[dict] = [{} for _ in READINGS]
+        for (reading, *kind), found in rows.items():
             found.sort()
             h = np.array([f[0] for f in found], np.uint64)
             maybe = np.zeros(1 << 20, bool)
             maybe[(h >> np.uint64(44)).astype(np.int64)] = True
-            self.tables[kind] = (h, np.array([f[1:] for f in found], np.int64), maybe)
-
-    def matches(self, hashes: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int, int, int, bool]]:
+            self.tables[reading][tuple(kind)] = (h, np.array([f[1:] for f in found], np.int64), maybe)
+
+    def _add(self, reading: int, number: int, view: View, rows: dict[tuple, list]) -> None:
+        slots = view.slots(range(len(view.codes)))
+        length = min(self.window, len(view.codes))
+        literal = np.array([kind == "" for kind, _ in slots], np.int64)
+        words = np.convolve(literal, np.ones(length, np.int64), "valid")
+        # Joined slots leave few places, and two words between them say too little.
+        enough = (words * 2 >= length) & (words >= (JOINED_WORDS if READINGS[reading][1] else 0))
+        self.slots[reading].append(slots)
+        self.codes[reading].append((view.codes, length, enough))
+        # Only these places can speak for an alignment; windows without any are found from their neighbours.
+        times = Counter(value for kind, value in slots if kind)
+        speaks = np.array([kind == "" or times[value] > 1 for kind, value in slots], np.int64)
+        some = np.convolve(speaks, np.ones(length, np.int64), "valid") > 0
+        # What has fewer words than half a window is told by its values alone.
+        short = 2 * length < self.window
+        for exact, codes, wanted in ((False, view.codes, (enough | some) & (not short)), (True, view.values, ~enough | short)):
+            own = window_hashes(codes, length)
+            for place in np.flatnonzero(wanted).tolist():
+                rows.setdefault((reading, length, exact), []).append((int(own[place]), number, place))
+
+    def matches(self, reading: int, view: View) -> Iterator[tuple[int, int, int, int, bool]]:
         """(item, place in the item, place in the document, length, whether it counts by itself) of each pair of equal windows."""
-        for (length, exact), (table, owners, maybe) in self.tables.items():
-            own = window_hashes(values if exact else hashes, length)
+        for (length, exact), (table, owners, maybe) in self.tables[reading].items():
+            own = window_hashes(view.values if exact else view.codes, length)
             at = np.flatnonzero(maybe[(own >> np.uint64(44)).astype(np.int64)])
             low = np.searchsorted(table, own[at], "left")
             high = np.searchsorted(table, own[at], "right")
             for place, a, b in zip(at[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist()):
                 for item, start in owners[a:b].tolist():
-                    yield item, start, place, length, exact or bool(self.codes[item][2][start])
+                    yield item, start, place, length, exact or bool(self.codes[reading][item][2][start])
 
-    def template_places(self, item: int, shift: int, hashes: np.ndarray) -> set[int]:
+    def template_places(self, reading: int, item: int, shift: int, hashes: np.ndarray) -> set[int]:
         """Places of the item in windows of its template that the document has at this shift."""
-        own, length, _ = self.codes[item]
+        own, length, _ = self.codes[reading][item]
+        if 2 * length < self.window:
+            return set()
         low, high = max(0, -shift), min(len(own), len(hashes) - shift)
         differ = np.flatnonzero(own[low:high] != hashes[low + shift:high + shift]) + low
         found: set[int] = set()
@@ -226,19 +290,51 @@ def _verbatim(both: list[tuple[int, str, str, str]], least: int) -> list[int]:
 
 
 def leaks_of(text: bytes, bench: Benchmark, templates: Templates, share: float, long_run: int) -> list[tuple]:
-    """(item id, words covered, share, kind, start, end) of each item that a text holds; offsets are code points, end exclusive."""
-    runs, words, hashes, values = templates.template(text)
+    """(item id, words covered, share, kind, start, end) of each item that a text holds; offsets are code points, end exclusive.
+
+    An item that several readings find is told by the first of them.
+    """
+    found: dict[int, tuple] = {}
+    for reading, view in enumerate(templates.text(text).views()):
+        for item, covered, part, kind, first, last in _leaks_in(reading, view, bench, share, long_run):
+            found.setdefault(item, (covered, part, kind, first, last))
+    if not found:
+        return []
+    places = sorted({p for *_, first, last in found.values() for p in (first, last)})
+    spans = _code_points(text, places)
+    return [(bench.ids[item], covered, part, kind, spans[first][0], spans[last][1]) for item, (covered, part, kind, first, last) in found.items()]
+
+
+def _code_points(text: bytes, wanted: list[int]) -> dict[int, tuple[int, int]]:
+    """Start and end of the runs with the given numbers."""
+    out, at, chars, waiting = {}, 0, 0, iter(wanted)
+    place = next(waiting, None)
+    for number, run in enumerate(_RUN.finditer(text)):
+        if number != place:
+            continue
+        start = chars + len(text[at:run.start()].decode("utf-8", "replace"))
+        end = start + len(run.group().decode("utf-8", "replace"))
+        out[place] = (start, end)
+        at, chars = run.end(), end
+        if (place := next(waiting, None)) is None:
+            break
+    return out
+
+
+def _leaks_in(reading: int, view: View, bench: Benchmark, share: float, long_run: int) -> Iterator[tuple]:
+    """(item, words covered, share, kind, first run, last run) of the items that one reading of a text holds."""
+    hashes = view.codes
     # Per item and shift the places that windows cover by themselves, and whether others may add to them.
     lines: dict[int, dict[int, set[int]]] = {}
-    for item, start, place, length, alone in bench.matches(hashes, values):
+    for item, start, place, length, alone in bench.matches(reading, view):
         spots = lines.setdefault(item, {}).setdefault(place - start, set())
         if alone:
             spots.update(range(start, start + length))
-    found = []
     for item, diagonals in lines.items():
-        wanted, covered, changed, places = bench.slots[item], set(), False, []
+        wanted, covered, changed, places = bench.slots[reading][item], set(), False, []
+        least = bench.codes[reading][item][1]
         torn, torn_places = set(), []
-        wide = {shift: spots | bench.template_places(item, shift, hashes) for shift, spots in diagonals.items()}
+        wide = {shift: spots | bench.template_places(reading, item, shift, hashes) for shift, spots in diagonals.items()}
         possible = sum(map(len, wide.values()))
         if possible < share * len(wanted) and possible < long_run:
             continue
@@ -246,10 +342,10 @@ def leaks_of(text: bytes, bench: Benchmark, templates: Templates, share: float,
             every = wide[shift]
             if any(wanted[s][0] for s in every):
                 ordered = sorted(every)
-                own = _slots(runs, words[np.array(ordered) + shift])
+                own = view.slots([s + shift for s in ordered])
                 whole = [(s, *wanted[s], value) for s, (_, value) in zip(ordered, own)]
                 both = _accepted(whole) if len(every) > len(spots) else []
-                if not both or not _tells(both, bench.codes[item][1]):
+                if not both or not _tells(both, least):
                     both = _accepted([x for x in whole if x[0] in spots])
                 if not both:
                     if spots and (kept := _verbatim(whole, bench.window)):
@@ -266,16 +362,7 @@ def leaks_of(text: bytes, bench: Benchmark, templates: Templates, share: float,
             covered, places, changed = covered | torn, places + torn_places, changed or bool(torn)
         part = len(covered) / len(wanted)
         if covered and (part >= share or len(covered) >= long_run):
-            first, last = words[min(places)], words[max(places)]
-            start = end = 0
-            for place, run in enumerate(_RUN.finditer(text)):
-                if place == first:
-                    start = len(text[:run.start()].decode("utf-8", "replace"))
-                if place == last:
-                    end = len(text[:run.end()].decode("utf-8", "replace"))
-                    break
-            found.append((bench.ids[item], len(covered), part, "changed" if changed else "same", start, end))
-    return found
+            yield item, len(covered), part, "changed" if changed else "same", int(view.first[min(places)]), int(view.last[max(places)])
 
 
 def _build_sides(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator:
@@ -320,10 +407,11 @@ def benchmark_leaks(
 ) -> DataFrame:
     """One row per document row and item found in it: doc_id, item_id, words_found, share, kind (same, changed), start, end.
 
-    Items of fewer than ``LEAST_WORDS`` words are not searched. Items shorter than a window are found as a whole. An item counts where
+    Every item with a word is searched. Items shorter than a window are found as a whole, those of fewer words than half a window with their own
+    values only (a single word wherever it stands). Texts are read in three ways: capitals at the start of a sentence as words
+    or as names, and slots of one kind side by side apart or as one, so a name may become one of more words. An item counts where
     at least ``share`` of its words or ``long_run`` words are covered. Verbatim runs of an alignment with inconsistent slots count towards
-    ``long_run`` only. Alignments with few words and few repeated
-    slots are found with the item's values only.
+    ``long_run`` only. Alignments with few words and few repeated slots are found with the item's values only.
     Null texts hold nothing, as documents and as items; repeated rows are searched each, repeated items are found each.
     """
     arrow_limits(docs.sparkSession)
