@@ -3,8 +3,8 @@
 Each document gives the 128-bit hashes of its distinct long lines. Hashes found in enough documents are cut into shards;
 a shard is one row with a minimal perfect hash over its keys (levels of bit arrays, the rank of a bit being the place) and, in
 that order, compact arrays: a 64-bit fingerprint, the number of documents, and the largest id. Documents send only hashes to
-the shard, where they are probed in batches. A shard row is repeated for a few salts drawn from the document's id,
-so the probes of one very common line are spread. Nothing is broadcast and no lines are joined.
+the shard, where they are probed in batches. A shard row is repeated as often as its number of probes asks for, and documents are
+dealt to the copies by a hash of their id, so the probes of one very common line are spread. Nothing is broadcast and no lines are joined.
 """
 
 from __future__ import annotations
@@ -19,13 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ebbtide.llm.common import BLANKS, arrow_limits, stored, text_or_empty
+from ebbtide.llm.common import BLANKS, arrow_limits, packed, stored, text_or_empty, unpacked
 
 MIN_CHARS = 40
 MIN_DOCS = 5
 KEYS_PER_SHARD = 65_536
 LEAST_SHARDS = 64
-SALTS = 8
+#: Probes that share one copy of a shard's row, and the most copies of one row.
+PROBES_PER_COPY = 1 << 17
+MOST_COPIES = 1 << 20
 _STRIP = BLANKS.encode()
 _GAMMA = 2.0
 _MOST_LEVELS = 40
@@ -142,7 +144,7 @@ def _probe(min_docs: int):
         at, shard = None, None
         for batch in batches:
             column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            cell = column["shard"].to_numpy(zero_copy_only=False).astype(np.int64) * SALTS + column["salt"].to_numpy(zero_copy_only=False)
+            cell = column["shard"].to_numpy(zero_copy_only=False).astype(np.int64) * MOST_COPIES + column["salt"].to_numpy(zero_copy_only=False)
             kind = column["kind"].to_numpy(zero_copy_only=False)
             docs = column["doc_id"]
             ids = docs.fill_null(0).to_numpy(zero_copy_only=False)
@@ -218,21 +220,22 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     and n_dropped are replaced.
     """
     hashes, index = shared_lines(docs, min_chars, min_docs)
-    probes = hashes.select(
-        "shard", F.expr(f"cast(pmod(xxhash64(doc_id), {SALTS}) as int)").alias("salt"), F.lit(1).alias("kind"), "doc_id", "h1", "h2"
-    )
-    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt")
-    copies = index.select("*", salts).withColumn("kind", F.lit(0))
+    # One small row per shard, twelve bytes; there is a shard for each 65,536 shared lines.
+    wanted = F.ceil(F.count(F.lit(1)) / PROBES_PER_COPY).cast("int")
+    salts = stored(hashes.groupBy("shard").agg(F.least(wanted, F.lit(MOST_COPIES)).alias("copies")))
+    dealt = hashes.join(F.broadcast(salts) if salts.count() <= MOST_COPIES else salts, "shard")
+    # Rows without an id are dealt by the line: they are many, and one id.
+    salt = F.pmod(F.coalesce(F.xxhash64("doc_id"), F.lit(0)) + F.when(F.col("doc_id").isNull(), F.col("h2")).otherwise(0), F.col("copies"))
+    probes = dealt.select("shard", salt.cast("int").alias("salt"), F.lit(1).alias("kind"), "doc_id", "h1", "h2")
+    copies = index.join(salts, "shard").select(*index.columns, F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt")).withColumn("kind", F.lit(0))
     streams = probes.unionByName(copies, allowMissingColumns=True)
     hits = (
         streams.repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
         .mapInArrow(_probe(min_docs), "doc_id long, h1 long")
         .groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("h1").alias("_lost"))
     )
-    joined = docs.join(hits, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
-    done = joined.withColumn("_new", _without(min_chars)(text_or_empty().cast("binary"), F.col("_lost")))
-    extra = ("n_lines", "n_dropped")
-    return done.select(
-        *[F.col("_new.text").alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in extra],
-        *[F.col(f"_new.{c}").alias(c) for c in extra],
-    )
+    needed = ["doc_id", "text"]
+    joined = packed(docs, needed).join(hits, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
+    made = joined.withColumn("_new", _without(min_chars)(text_or_empty().cast("binary"), F.col("_lost")))
+    done = made.withColumn("text", F.col("_new.text"))
+    return unpacked(done, docs, needed, {c: F.col(f"_new.{c}") for c in ("n_lines", "n_dropped")})
