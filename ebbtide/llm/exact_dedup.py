@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType
 
-from ebbtide.llm.common import arrow_limits, join_hot, stored, text_or_empty
+from ebbtide.llm.common import arrow_limits, join_hot, packed, stored, text_or_empty, unpacked
 
 TABLE_BYTES = 48 << 20
 FANOUT_BITS = 4
@@ -165,13 +165,12 @@ def exact_dedup(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """
     # Only classes of two rows or more are looked up; any other document is its own class.
     classes = stored(duplicate_classes(docs, table_bytes).where("group_size > 1"))
-    marked = docs.drop("keep_id", "group_size", "kept", "digest").withColumn("digest", _digest(text_or_empty().cast("binary")))
+    needed = ["doc_id", "text"]
+    marked = packed(docs, needed).withColumn("digest", _digest(text_or_empty().cast("binary")))
     spread = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).cast("binary")
     found = join_hot(marked, classes, "digest", "group_size", spread)
     alone = F.col("group_size").isNull()
     keep = F.when(alone, F.col("doc_id").cast("long")).otherwise(F.col("keep_id"))
-    return (
-        found.withColumn("keep_id", keep)
-        .withColumn("group_size", F.coalesce("group_size", F.lit(1)).cast("long"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    )
+    size = F.coalesce("group_size", F.lit(1)).cast("long")
+    added = {"keep_id": keep, "group_size": size, "kept": F.col("doc_id").eqNullSafe(keep), "digest": F.col("digest")}
+    return unpacked(found, docs, needed, added)
