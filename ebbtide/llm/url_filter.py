@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import ascii_lower, join_hot, stored
+from ebbtide.llm.common import ascii_lower, join_hot, packed, stored, unpacked
 from ebbtide.llm.public_suffixes import SUFFIXES
 
 ALLOW, BLOCK = "allow", "block"
@@ -122,13 +122,16 @@ def host_reputation(outcomes: DataFrame, bad_share: float = BAD_SHARE, z: float
     s_suffix, s_domain, s_host = (strength(x).first()["strength"] for x in (suffixes, domains, hosts))
     shrunk = lambda k, n, prior, s: (F.col(k) + F.lit(s) * prior) / (F.col(n) + F.lit(s))
     suffix_mean = suffixes.select("suffix", shrunk("bad", "labelled", F.lit(mean), s_suffix).alias("_suffix_mean"))
-    domain_mean = domains.join(suffix_mean, "suffix").select(
-        "domain", shrunk("bad", "labelled", F.col("_suffix_mean"), s_domain).alias("_domain_mean")
-    )
+    # A suffix has very many domains, and a domain that rents out names very many hosts.
+    of_suffix = stored(suffix_mean.join(domains.groupBy("suffix").agg(F.count(F.lit(1)).alias("_domains")), "suffix"))
+    spread = lambda c: F.concat(F.lit("#"), F.col(c))
+    rated = join_hot(domains, of_suffix, "suffix", "_domains", spread("domain"))
+    domain_mean = rated.select("domain", shrunk("bad", "labelled", F.col("_suffix_mean"), s_domain).alias("_domain_mean"))
+    of_domain = stored(domain_mean.join(hosts.groupBy("domain").agg(F.count(F.lit(1)).alias("_hosts")), "domain"))
     a = F.col("bad") + F.lit(s_host) * F.col("_domain_mean")
     b = F.col("labelled") - F.col("bad") + F.lit(s_host) * (1 - F.col("_domain_mean"))
     deviation = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    known = hosts.join(domain_mean, "domain").withColumn("mean", a / (a + b)).withColumn("bound", F.col("mean") - F.lit(z) * deviation)
+    known = join_hot(hosts, of_domain, "domain", "_hosts", spread("host")).withColumn("mean", a / (a + b)).withColumn("bound", F.col("mean") - F.lit(z) * deviation)
     return known.select(
         "host", "pages", "labelled", "bad", "mean", "bound", F.when(F.col("bound") > bad_share, BLOCK).otherwise(ALLOW).alias("verdict")
     )
@@ -141,8 +144,8 @@ def judged_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple = RULES, bad
     pages together are one host. The longest rule that fits decides, else the reputation of the host. Repeated pages are judged each; columns
     of ``pages`` with the four names are replaced.
     """
-    base = pages.drop("host", "path", "rule", "verdict")
-    placed = base.withColumn("host", F.coalesce(host_of(F.col("url")), F.lit(""))).withColumn("path", F.coalesce(path_of(F.col("url")), F.lit("")))
+    needed = ["page_id", "url"]
+    placed = packed(pages, needed).withColumn("host", F.coalesce(host_of(F.col("url")), F.lit(""))).withColumn("path", F.coalesce(path_of(F.col("url")), F.lit("")))
     marked = outcomes.groupBy("page_id").agg(F.max("bad").alias("bad"))
     seen = placed.select("page_id", "host").join(marked, "page_id", "left").select("host", "bad")
     reputation = stored(host_reputation(seen, bad_share, z).select("host", "pages", F.col("verdict").alias("_method")))
@@ -150,6 +153,5 @@ def judged_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple = RULES, bad
     # A hot host's rows keep their place; the others meet their host.
     found = join_hot(placed, reputation.withColumnRenamed("pages", "_pages"), "host", "_pages", spread)
     host, path = F.col("host"), F.col("path")
-    return found.withColumn("rule", rule_column(rules, host, path)).withColumn(
-        "verdict", F.coalesce(rule_column(rules, host, path, 2), F.col("_method"))
-    ).drop("_method", "_pages")
+    verdict = F.coalesce(rule_column(rules, host, path, 2), F.col("_method"))
+    return unpacked(found, pages, needed, {"host": host, "path": path, "rule": rule_column(rules, host, path), "verdict": verdict})
