@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import join_hot, stored, text_or_empty
+from ebbtide.llm.common import REST, join_hot, packed, stored, text_or_empty, unpacked
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -56,6 +56,11 @@ def offset_of(source: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(named), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
 
 
+def id_hash(doc_id: Column) -> Column:
+    """A number below 2^32 that depends on the id only."""
+    return F.conv(F.substring(F.md5(doc_id.cast("long").cast("string")), 1, 8), 16, 10).cast("long")
+
+
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: str = SEED, size: str | None = None
 ) -> DataFrame:
@@ -67,7 +72,8 @@ def mix(
     """
     added = ("size", "source_size", "target", "copies")
     counted = word_count(text_or_empty()) if size is None else F.col(size).cast("long")
-    base = docs.withColumn("size", counted).drop(*[c for c in added if c != "size"])
+    needed = ["doc_id", "source"]
+    base = packed(docs, needed, size=counted)
     sources = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     targets = stored(source_targets(sources, weights, most))
     # A null source joins through a name that no other source has.
@@ -75,28 +81,27 @@ def mix(
     facts = targets.select(name, "source_size", F.col("n").alias("_n"), "target")
     spread = F.concat(F.lit("#"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     known = join_hot(base.select("*", name), facts, "_name", "_n", spread)
-    # Blocks: the binary length of the size, then residues of the id.
+    # Blocks: the binary length of the size, then a hash of the id, whatever steps ids come in. Rows without one go by what they hold.
     blocks = (F.floor((F.col("_n") - 1) / F.lit(BLOCK_ROWS)) + 1).cast("long")
     placed = known.withColumn("_band", F.length(F.bin("size"))).withColumn(
-        "_block", F.coalesce(F.pmod(F.col("doc_id").cast("long"), blocks), F.lit(0))
+        "_block", F.pmod(F.coalesce(id_hash(F.col("doc_id")), F.xxhash64(REST)), blocks)
     )
     block = ["_name", "_band", "_block"]
     counts = placed.groupBy(*block).agg(F.count(F.lit(1)).alias("_rows"))
     order = Window.partitionBy("_name").orderBy("_band", "_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("_start", F.coalesce(F.sum("_rows").over(order), F.lit(0))).drop("_rows")
-    inside = Window.partitionBy(*block).orderBy("size", F.col("doc_id").asc_nulls_first())
+    # The rest of the row decides between rows that repeat an id.
+    inside = Window.partitionBy(*block).orderBy("size", F.col("doc_id").asc_nulls_first(), F.xxhash64(REST))
     ranked = placed.withColumn("_rank", F.row_number().over(inside)).join(starts, block)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     place = (F.col("_start") + F.col("_rank")).cast("double")
     upto = lambda k: F.floor(k * F.col("_rate") + F.col("_offset"))
     copies = (upto(F.col("_place")) - upto(F.col("_place") - 1)).cast("long")
-    return (
-        ranked.withColumn("_rate", rate).withColumn("_place", place).withColumn("_offset", offset_of(F.col("source"), seed))
-        .withColumn("copies", copies)
-        .select(*[c for c in base.columns if c != "size"], *added)
-    )
+    drawn = ranked.withColumn("_rate", rate).withColumn("_place", place).withColumn("_offset", offset_of(F.col("source"), seed))
+    return unpacked(drawn.withColumn("copies", copies), docs, needed, {c: F.col(c) for c in added})
 
 
 def emitted(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """Each taken document as often as it was taken, with a copy number from 1."""
-    return mixed.where("copies > 0").select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+    """Each taken document as often as it was taken, with a copy number from 1 in ``copy``, which replaces a column of that name."""
+    kept = [F.col(f"`{c}`") for c in columns if c.lower() != "copy"]
+    return mixed.where("copies > 0").select(*kept, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))

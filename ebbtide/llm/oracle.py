@@ -134,7 +134,7 @@ targets AS (
 ), ranked AS (
   SELECT doc_id, size, source_size, target, t.source,
          row_number() OVER (PARTITION BY t.source ORDER BY length(bin(size)),
-           coalesce(((doc_id % ((n - 1) // {mixing.BLOCK_ROWS} + 1)) + ((n - 1) // {mixing.BLOCK_ROWS} + 1)) % ((n - 1) // {mixing.BLOCK_ROWS} + 1), 0),
+           CAST('0x' || substring(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % ((n - 1) // {mixing.BLOCK_ROWS} + 1),
            size, doc_id NULLS FIRST) AS place
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 ), rated AS (
