@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from ebbtide.llm.common import arrow_limits, join_hot, stored, text_or_empty
+from ebbtide.llm.common import arrow_limits, join_hot, packed, stored, text_or_empty, unpacked
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -38,7 +38,8 @@ HASHES = 64
 #: Equal sketch places, of HASHES, from which a pair is looked at: six deviations below the mean at the threshold. All runs test the same
 #: sketch, so what it misses must be far less than what the runs may miss.
 SLACK = 6.0
-CACHE_WORDS = 300_000
+#: Words whose hashes a worker keeps: so many, and none that is longer.
+CACHE_WORDS, CACHED_BYTES = 300_000, 64
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(8)
@@ -73,10 +74,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
         h = xxhash.xxh3_64_intdigest(word)
-        self[word] = h
+        if len(word) <= CACHED_BYTES:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = h
         return h
 
 
@@ -132,9 +134,9 @@ def _records(runs: int, levels: int) -> Callable:
                 [
                     batch.column(0), pa.array(size, pa.int64()), pa.array(np.array(f1, np.uint64).view(np.int64)),
                     pa.array(np.array(f2, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                    pa.array(sketches, pa.binary()),
+                    pa.array(sketches, pa.binary()), batch.column(2),
                 ],
-                ["doc_id", "size", "sid", "check", "keys", "sketch"],
+                ["doc_id", "size", "sid", "check", "keys", "sketch", "row"],
             )
 
     return run
@@ -339,15 +341,19 @@ def components(edges: DataFrame) -> DataFrame:
 def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
     """The record of each row of ``docs`` (doc_id, sid: the name of its set), and what is known of each set that is not alone.
 
-    The second table has a row (sid, class_id, copies, n_links) for each set that has copies or links.
+    The second table has a row (sid, label, class_id, copies, n_links) for each set that has copies or links; a label is a name of the class.
     """
     arrow_limits(docs.sparkSession)
     runs = runs_for(recall, threshold)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("t"))
-    kinds = "doc_id long, size long, sid long, check long, keys array<long>, sketch binary"
+    # Rows without an id are found again by their text.
+    doc_id, text = F.col("doc_id").cast("long"), text_or_empty().cast("binary")
+    texts = docs.select(doc_id.alias("doc_id"), text.alias("t"), F.coalesce(doc_id, F.xxhash64(text)).alias("row"))
+    kinds = "doc_id long, size long, sid long, check long, keys array<long>, sketch binary, row long"
     records = stored(texts.mapInArrow(_records(runs, LEVELS), kinds))
     classes = stored(
-        records.where("size > 0").groupBy("sid", "size", "check").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+        records.where("size > 0").groupBy("sid", "size", "check").agg(
+            F.min("doc_id").alias("rep"), F.min("row").alias("at"), F.count(F.lit(1)).alias("copies")
+        )
     )
     sets = stored(
         records.where("size > 0").dropDuplicates(["sid"]).select("sid", "size", "keys", "sketch")
@@ -369,8 +375,8 @@ def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: fl
     likely = stored(members.repartition("group").sortWithinPartitions("group").mapInArrow(_likely(threshold), _LIKELY))
     # Texts of the representatives that have a likely partner are read again, for whole sets.
     needed = likely.groupBy("sid").agg(F.collect_list(F.struct("group", "run", "blk", "cross")).alias("places"))
-    wanted = needed.join(facts.select("sid", "seen"), "sid").join(classes.select("sid", "rep", "copies"), "sid")
-    by_text = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("t", "sid", "copies", "seen", "places")
+    wanted = needed.join(facts.select("sid", "seen"), "sid").join(classes.select("sid", "at", "copies"), "sid")
+    by_text = texts.join(wanted, F.col("row") == F.col("at")).select("t", "sid", "copies", "seen", "places")
     whole = by_text.mapInArrow(_whole_sets, _SETS)
     found = stored(whole.repartition("group").sortWithinPartitions("group").mapInArrow(_links(threshold), _LINKS))
     links = found.groupBy("sid").agg(F.sum("links").alias("links"))
@@ -379,7 +385,7 @@ def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: fl
     smallest = named.groupBy("label").agg(F.min("rep").alias("class_id"))
     told = stored(
         named.where("copies > 1 or links > 0").join(smallest, "label")
-        .select("sid", "class_id", "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+        .select("sid", "label", "class_id", "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     )
     return records.select("doc_id", "sid"), told
 
@@ -412,6 +418,23 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     its own class. Rows that repeat an id are rows of their own. Null ids are never the smallest. An empty table gives no rows. Columns of
     ``docs`` with the three names are replaced.
     """
+    needed = ["doc_id", "text"]
+    return unpacked(_classed(docs, threshold, recall), docs, needed, {c: F.col(c) for c in ("class_id", "copies", "n_links")})
+
+
+def _classed(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
     _, told = similarity_classes(docs, threshold, recall)
-    base = docs.drop("class_id", "copies", "n_links")
-    return with_classes(base.withColumn("sid", _set_name(text_or_empty().cast("binary"))), told).drop("sid")
+    return with_classes(packed(docs, ["doc_id", "text"], sid=_set_name(text_or_empty().cast("binary"))), told)
+
+
+def one_of_each_class(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """One row of each class of ``jaccard_join``, of the smallest doc_id, with the columns of ``docs``.
+
+    Of rows that repeat this id, and of a class without any id, one stays. Texts without words are classes of their own and all stay. An empty
+    table gives no rows.
+    """
+    found = _classed(docs, threshold, recall)
+    first = found.where(F.col("doc_id").cast("long").eqNullSafe(F.col("class_id")))
+    # Candidates of a class are combined in each task before they meet.
+    chosen = first.where("label is not null").dropDuplicates(["label"]).unionByName(first.where("label is null"))
+    return unpacked(chosen, docs, ["doc_id", "text"], {})
