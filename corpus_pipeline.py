@@ -29,9 +29,8 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each class of similar documents."""
-    found = jaccard_join.jaccard_join(docs)
-    return found.where(F.col("doc_id").cast("long").eqNullSafe(F.col("class_id"))).select(*docs.columns)
+    """Keeps one row of each class of similar documents, of the smallest doc_id; texts without words stay."""
+    return jaccard_join.one_of_each_class(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
