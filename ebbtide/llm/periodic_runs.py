@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from ebbtide.llm.common import arrow_limits, text_or_empty
+from ebbtide.llm.common import arrow_limits, packed, text_or_empty, unpacked
 
 LEAST_WORDS, LEAST_PERIODS = 6, 4
 _FAR = np.int64(1) << np.int64(62)
@@ -261,14 +261,9 @@ def periodic_runs(docs: DataFrame, text: Column | None = None) -> DataFrame:
     """
     arrow_limits(docs.sparkSession)
     given = text_or_empty() if text is None else F.coalesce(text, F.lit(""))
-    taken = {c.lower() for c in docs.columns}
-    place = next(n for i in range(len(taken) + 1) if (n := f"found_{i}") not in taken)
-    both = docs.select("*", _found(given.cast("binary")).alias(place))
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_runs", "runs", "collapsed")]
-    return both.select(
-        *kept, F.size(f"{place}.runs").cast("long").alias("n_runs"), F.col(f"{place}.runs").alias("runs"),
-        F.col(f"{place}.collapsed").alias("collapsed"),
-    )
+    both = packed(docs, [], found=_found(given.cast("binary")))
+    runs = F.col("found.runs")
+    return unpacked(both, docs, [], {"n_runs": F.size(runs).cast("long"), "runs": runs, "collapsed": F.col("found.collapsed")})
 
 
 def strongest(runs: Column) -> Column:
