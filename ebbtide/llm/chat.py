@@ -1,8 +1,9 @@
 """Chat formatting of records in different layouts, with DataFrame functions only.
 
 A record's layout is found by a fingerprint: the hash of the sorted paths of those nested fields that hold something in this
-row. The fingerprint selects a declarative mapping, which lists where turns come from. Records with an unknown fingerprint keep an empty
-list of turns and a null layout; they are not dropped.
+row. The fingerprint selects a declarative mapping, which lists where turns come from. A record with an unknown fingerprint gets the mapping with
+the most paths among those that it holds all paths of, and ``unread`` lists what that mapping leaves; without any it keeps an empty
+list of turns and a null layout. No record is dropped.
 
 The template writes a turn as ``<s>[ROLE]role[/ROLE]text</s>``. Control strings inside roles and texts are escaped with a
 backslash and a letter, backslashes likewise, so every text can be read back and no text can end a turn.
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbtide.llm.common import fresh, running
+
 START, ROLE, ROLE_END, END = "<s>", "[ROLE]", "[/ROLE]", "</s>"
 #: Control strings of this template and of common ones, escaped inside texts.
 CONTROLS = (
@@ -79,12 +82,18 @@ def fingerprint(paths: tuple[str, ...]) -> Column:
     return F.xxhash64(F.lit(",".join(sorted(paths))))
 
 
-def record_fingerprint(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
-    """Hash of the paths that hold something in the row, in sorted order."""
+def held_paths(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
+    """The paths that hold something in the row, in sorted order."""
     names = {p for layout in layouts for p in layout.paths}
     present = sorted(_leaf_paths(df.schema, names), key=lambda x: x[0])
-    listed = F.concat_ws(",", *[F.when(held, F.lit(path)) for path, held in present]) if present else F.lit("")
-    return F.xxhash64(listed)
+    if not present:
+        return F.array().cast("array<string>")
+    return F.array_compact(F.array(*[F.when(held, F.lit(path)) for path, held in present]))
+
+
+def record_fingerprint(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
+    """Hash of the paths that hold something in the row."""
+    return F.xxhash64(F.array_join(held_paths(df, layouts), ","))
 
 
 def _role(name: Column) -> Column:
@@ -107,17 +116,30 @@ def _mapped(layout: Layout) -> Column:
 
 
 def canonical_turns(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """Adds ``layout`` (null: unknown) and ``turns_out`` (role, text) by the fingerprint of each row."""
+    """Adds ``layout`` (null: unknown), ``unread`` (paths that hold something and are not in the layout) and ``turns_out`` (role, text).
+
+    Rows are looked at one by one: repeated rows are mapped each, an empty table gives no rows. A layout's list that is empty gives no turns; null
+    roles and texts are empty strings. Columns of ``df`` with the three names are replaced.
+    """
+    return _mapped_turns(df.drop("layout", "unread", "turns_out"), layouts, "turns_out")
+
+
+def _mapped_turns(df: DataFrame, layouts: tuple[Layout, ...], out: str) -> DataFrame:
     names = {p for layout in layouts for p in layout.paths}
     have = {path for path, _ in _leaf_paths(df.schema, names)}
-    usable = [layout for layout in layouts if set(layout.paths) <= have]
-    marked = df.withColumn("_print", record_fingerprint(df, layouts))
-    turns, name = F.lit(None).cast(TURNS), F.lit(None).cast("string")
-    for layout in reversed(usable):
-        fits = F.col("_print") == fingerprint(layout.paths)
+    # Among layouts that a row covers, the one with the most paths; of equally many, the first listed.
+    usable = sorted((layout for layout in layouts if set(layout.paths) <= have), key=lambda x: -len(x.paths))
+    held, mark = fresh([*df.columns, out, "layout", "unread"], "held", "print")
+    marked = df.withColumn(held, held_paths(df, layouts)).withColumn(mark, record_fingerprint(df, layouts))
+    turns, name, unread = F.lit(None).cast(TURNS), F.lit(None).cast("string"), F.col(held)
+    covers = lambda x: F.size(F.array_except(F.array(*map(F.lit, x.paths)), F.col(held))) == 0
+    tests = [(x, F.col(mark) == fingerprint(x.paths)) for x in usable] + [(x, covers(x)) for x in usable]
+    for layout, fits in reversed(tests):
         turns = F.when(fits, _mapped(layout)).otherwise(turns)
         name = F.when(fits, F.lit(layout.name)).otherwise(name)
-    return marked.withColumn("layout", name).withColumn("turns_out", F.coalesce(turns, F.array().cast(TURNS))).drop("_print")
+        unread = F.when(fits, F.array_except(F.col(held), F.array(*map(F.lit, layout.paths)))).otherwise(unread)
+    added = {"layout": name, "unread": unread, out: F.coalesce(turns, F.array().cast(TURNS))}
+    return marked.select(*[F.col(f"`{c}`") for c in df.columns], *[c.alias(n) for n, c in added.items()])
 
 
 def escaped(text: Column) -> Column:
@@ -135,18 +157,21 @@ def unescaped(text: Column) -> Column:
 
 
 def formatted_chats(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS, learn_from: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """The columns of ``df`` and layout, pieces, formatted, loss_spans.
+    """The columns of ``df`` and layout, unread, pieces, formatted, loss_spans.
 
     ``pieces`` are the parts of ``formatted`` in order, each with its loss mark; ``loss_spans`` are the masked stretches as code points of
     ``formatted``, end exclusive. Null roles and texts are empty strings. Roles are compared with ``learn_from`` after the
-    names of the layouts are unified.
+    names of the layouts are unified. Repeated rows are formatted each, an empty table gives no rows. Columns of ``df`` with the five names are
+    replaced.
     """
     learnt = list(learn_from)
-    turns = canonical_turns(df, layouts)
+    base = df.drop("layout", "unread", "pieces", "formatted", "loss_spans")
+    out = fresh([*base.columns, "layout", "unread", "pieces", "formatted", "loss_spans"], "turns")[0]
+    turns = _mapped_turns(base, layouts, out)
     piece = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
     pieces = F.flatten(
         F.transform(
-            "turns_out",
+            out,
             lambda t: F.array(
                 piece(F.concat(F.lit(START + ROLE), escaped(t["role"]), F.lit(ROLE_END)), F.lit(False)),
                 piece(escaped(t["text"]), t["role"].isin(learnt)),
@@ -154,11 +179,7 @@ def formatted_chats(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS, learn_
             ),
         )
     )
-    ends = F.aggregate(
-        F.transform("pieces", lambda p: F.length(p["text"]).cast("long")),
-        F.array().cast("array<long>"),
-        lambda acc, n: F.array_append(acc, F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0).cast("long")) + n),
-    )
+    ends = running(F.transform("pieces", lambda p: F.length(p["text"]).cast("long")), lambda a, b: a + b)
     spans = F.filter(
         F.transform(
             F.arrays_zip(F.col("pieces").alias("p"), ends.alias("e")),
@@ -172,7 +193,7 @@ def formatted_chats(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS, learn_
         turns.withColumn("pieces", pieces)
         .withColumn("formatted", F.array_join(F.transform("pieces", lambda p: p["text"]), ""))
         .withColumn("loss_spans", F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-        .drop("turns_out")
+        .drop(out)
     )
 
 
@@ -196,7 +217,11 @@ def loss_text(pieces: Column) -> Column:
 
 
 def turns_by_conversation(turns: DataFrame) -> DataFrame:
-    """One record (conv_id, turns) of rows by turn, in order of turn, then role, then text, nulls first and kept as empty."""
+    """One record (conv_id, turns) of rows by turn, in order of turn, then role, then text, nulls first and kept as empty.
+
+    Repeated turns stay, rows without a conv_id are one record, an empty table gives none; other columns are not looked at. A conversation is
+    one row, so it must fit in a task's memory, as its formatted text must anyway.
+    """
     row = F.struct(
         F.col("turn").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
