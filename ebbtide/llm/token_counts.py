@@ -3,8 +3,9 @@
 The tokenizer works on each run of characters between ASCII white space by itself, so a text has as many tokens as its runs
 have. Tier one is a compact hash table from the frequent runs to their numbers of tokens; it is broadcast, and its number of entries is
 bounded by a parameter. Tier two is a cache in each Python worker: runs it has not seen are encoded by the library in
-batches. No run is shuffled. Which runs are frequent is counted over all rows: each task keeps a bounded summary of
-its own counts, and only summaries are added up. The tables decide what is looked up and what is encoded, never the count.
+batches. No pre-token is shuffled. Which runs are frequent is counted over all rows: each task keeps a bounded summary of
+its own counts, one row, and summaries are merged in rounds, sixteen into one, into a bounded summary each time. The tables decide what is
+looked up and what is encoded, never the count.
 """
 
 from __future__ import annotations
@@ -18,14 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ebbtide.llm.common import arrow_limits, text_or_empty
+from ebbtide.llm.common import arrow_limits, stored, text_or_empty
 
 VOCABULARY = "word_bpe_49k.json"
 FREQUENT = 32_768
 #: Entries of a task's summary; what is rarer in that task than all of these does not reach the frequent table.
 SUMMARY = 2_048
 SUMMARY_ROOM = 200_000
-CACHE_ENTRIES = 400_000
+#: Runs that a worker keeps: so many, and none that is longer. Text without white space has long runs, each of little use again.
+CACHE_ENTRIES, CACHED_BYTES = 400_000, 64
+MERGED = 16
 LIMIT = 2048
 #: A mark after a word of plain letters is a token of its own.
 _MARKS = (b".", b",")
@@ -75,6 +78,9 @@ class Lengths(dict):
         if missed:
             self.learn(missed)
             counts = [sum(map(self.__getitem__, t.split())) if n is None else n for n, t in zip(counts, texts)]
+            for run in [r for r in missed if len(r) > CACHED_BYTES]:
+                self.pop(run, None)
+                self.pop(run[:-1], None)
         return counts
 
 
@@ -97,18 +103,47 @@ def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts.update(text.split())
             if len(counts) > SUMMARY_ROOM:
                 counts = Counter(dict(counts.most_common(SUMMARY_ROOM // 4)))
-    top = counts.most_common(SUMMARY)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([r for r, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64())], ["run", "n"]
+    yield _summary([(r, n) for r, n in counts.most_common(SUMMARY) if len(r) <= CACHED_BYTES])
+
+
+_SUMMARY = "runs array<binary>, counts array<long>"
+
+
+def _summary(top: list[tuple[bytes, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([[r for r, _ in top]], pa.list_(pa.binary())), pa.array([[n for _, n in top]], pa.list_(pa.int64()))], ["runs", "counts"]
     )
 
 
+def _most(counts: Counter[bytes], most: int) -> list[tuple[bytes, int]]:
+    return sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:most]
+
+
+def _merged(most: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[bytes] = Counter()
+        for batch in batches:
+            for runs, numbers in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for r, n in zip(runs, numbers):
+                    counts[r] += n
+        yield _summary(_most(counts, most))
+
+    return run
+
+
 def frequent_runs(docs: DataFrame, most: int = FREQUENT) -> list[bytes]:
-    """At most ``most`` runs, by count over the summaries of all tasks."""
+    """At most ``most`` runs, by count over the summaries of all tasks; the last ``MERGED`` summaries come to the driver."""
     arrow_limits(docs.sparkSession)
-    rows = docs.select(text_or_empty().cast("binary").alias("t")).mapInArrow(_summaries, "run binary, n long")
-    counted = rows.where(F.octet_length("run") <= 64).groupBy("run").agg(F.sum("n").alias("n"))
-    return [bytes(r["run"]) for r in counted.orderBy(F.desc("n"), "run").limit(most).select("run").collect()]
+    rows = stored(docs.select(text_or_empty().cast("binary").alias("t")).mapInArrow(_summaries, _SUMMARY))
+    n = rows.count()
+    while n > MERGED:
+        n = -(-n // MERGED)
+        rows = stored(rows.repartition(n).mapInArrow(_merged(most), _SUMMARY))
+    counts: Counter[bytes] = Counter()
+    for row in rows.collect():
+        for r, number in zip(row["runs"], row["counts"]):
+            counts[bytes(r)] += number
+    return [r for r, _ in _most(counts, most)]
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, most_frequent: int = FREQUENT) -> DataFrame:
