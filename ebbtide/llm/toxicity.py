@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ebbtide.llm.common import arrow_limits, stored, text_or_empty
+from ebbtide.llm.common import arrow_limits, packed, stored, text_or_empty, unpacked
 
 FIT_ROWS = 30_000
 FOLDS = 5
@@ -35,7 +35,8 @@ CLEAN_BEFORE = 20
 #: Lower bounds, in log odds, of the grades 1, 2, ... of evidence.
 GRADES = (1.0, 2.0, 3.0, 4.0, 6.0)
 NEAR = 3
-CACHE_WORDS = 300_000
+#: Runs whose codes a worker keeps: so many, and none that is longer.
+CACHE_WORDS, CACHED_BYTES = 300_000, 64
 _WORD = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(rb"[^\x20\x09-\x0d]+")
 _SCORED = (
@@ -44,7 +45,17 @@ _SCORED = (
 )
 
 
+#: Scripts that put no blanks between words: Thai, Lao, Burmese, Khmer, kana and Han. Their runs are whole sentences.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]")
+PARTS = (2, 3, 4)
+
+
 def terms_of(word: str) -> Iterator[str]:
+    """The word, its beginnings, and in scripts without blanks every short part of it."""
+    if _UNSPACED.search(word):
+        for n in PARTS:
+            yield from (f"~{word[i:i + n]}" for i in range(len(word) - n + 1))
+        return
     yield f"={word}"
     for n in PREFIXES:
         if len(word) > n:
@@ -101,9 +112,10 @@ class Words(dict):
         text = run.decode("utf-8", "replace")
         grade = max((self.terms.get(t, 0) for w in _WORD.findall(text.lower()) for t in terms_of(w)), default=0)
         code = 2 * grade + (grade > 0 and text[:1].isupper())
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[run] = code
+        if len(run) <= CACHED_BYTES:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[run] = code
         return code
 
 
@@ -309,9 +321,11 @@ def fold_of(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, most_terms: int = MOST_TERMS) -> ToxicityModel:
     """Fits on labelled rows outside fold 0. labels: (doc_id, toxic); repeated labels: the largest counts; null labels are left out.
 
+    Two bounds: at most ``fit_rows`` labelled rows are fitted on, and of the terms that set their toxic texts apart at most ``most_terms`` are learnt,
+    those with the clearest difference; scoring looks at every word of every text.
     Equal texts count once. Without labelled rows of both kinds no term is learnt and all scores are near the share of toxic rows.
     """
     arrow_limits(docs.sparkSession)
@@ -321,7 +335,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
     chosen = stored(chosen)
     joined = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
     sample = stored(joined.groupBy(F.sha2("text", 256).alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).drop("h"))
-    terms = learn_terms(sample)
+    terms = learn_terms(sample, most_terms)
 
     def compressed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(terms)
@@ -404,9 +418,6 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 ]),
             )
 
-    base = docs.drop("score", "predicted", "toxic_spans")
-    marked = base.withColumn("_scored", scored(text_or_empty().cast("binary")))
-    score = F.col("_scored.score")
-    return marked.select(
-        *base.columns, score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), F.col("_scored.spans").alias("toxic_spans")
-    )
+    marked = packed(docs, [], found=scored(text_or_empty().cast("binary")))
+    score = F.col("found.score")
+    return unpacked(marked, docs, [], {"score": score, "predicted": (score >= 0.5).cast("int"), "toxic_spans": F.col("found.spans")})
