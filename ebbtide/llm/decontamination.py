@@ -214,7 +214,9 @@ class Benchmark:
         some = np.convolve(speaks, np.ones(length, np.int64), "valid") > 0
         # What has fewer words than half a window is told by its values alone.
         short = 2 * length < self.window
-        for exact, codes, wanted in ((False, view.codes, (enough | some) & (not short)), (True, view.values, ~enough | short)):
+        # In the plainest reading all windows are told by their values too, so a copy in small letters is found.
+        valued = np.ones_like(enough) if reading == 0 else ~enough | short
+        for exact, codes, wanted in ((False, view.codes, (enough | some) & (not short)), (True, view.values, valued)):
             own = window_hashes(codes, length)
             for place in np.flatnonzero(wanted).tolist():
                 rows.setdefault((reading, length, exact), []).append((int(own[place]), number, place))
@@ -390,7 +392,10 @@ def without_leaks(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = LEAST_SHARE, long_run: int = LONG_RUN,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The rows of ``docs`` in which ``benchmark_leaks`` finds no item; each row is judged by its own text."""
+    """The rows of ``docs`` in which ``benchmark_leaks`` finds no item; each row is judged by its own text, so repeated rows stay or go together.
+
+    Null and empty texts hold nothing and stay, whatever their other columns; null and empty items are found nowhere. An empty table gives no rows.
+    """
     arrow_limits(docs.sparkSession)
     clean = docs
     for sent in _build_sides(benchmark, window, block_bytes):
@@ -411,7 +416,8 @@ def benchmark_leaks(
     values only (a single word wherever it stands). Texts are read in three ways: capitals at the start of a sentence as words
     or as names, and slots of one kind side by side apart or as one, so a name may become one of more words. An item counts where
     at least ``share`` of its words or ``long_run`` words are covered. Verbatim runs of an alignment with inconsistent slots count towards
-    ``long_run`` only. Alignments with few words and few repeated slots are found with the item's values only.
+    ``long_run`` only. Alignments with few words and few repeated slots are found with the item's values only. Capitals don't matter in
+    an item's own values.
     Null texts hold nothing, as documents and as items; repeated rows are searched each, repeated items are found each.
     """
     arrow_limits(docs.sparkSession)
