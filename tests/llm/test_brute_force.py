@@ -222,3 +222,20 @@ def test_toxicity_ranks_held_out_rows(spark):
     toxic, clean = [r.score for r in rows if r.toxic], [r.score for r in rows if not r.toxic]
     better = np.mean([[(a > b) + 0.5 * (a == b) for b in clean] for a in toxic])
     assert better > 0.9 and np.mean([r.predicted == r.toxic for r in rows]) > 0.97
+
+
+def test_short_items_are_found_at_every_place_of_a_sentence(spark):
+    """Items cut to 1 to 12 words, behind a small letter, behind a name, at the start, and with other names and numbers."""
+    rng = random.Random(8)
+    words = "Mary buys 5 apples and Tom has 3 pears of the 12 kg that Anna sold".split()
+    for n in range(1, 13):
+        item = " ".join(words[:n]) + "."
+        bench, templates = decontamination.Benchmark([(1, item)]), decontamination.Templates()
+        found = lambda t: [x[0] for x in decontamination.leaks_of(t.encode(), bench, templates, 0.5, 20)]  # noqa: B023, E731
+        for before in ("", "so ", "Question - ", "It is said. ", "as Peter said: "):
+            assert found(f"{before}{item} And that is all") == [1], (before, item)
+        assert found(item.lower()) == [1]
+        assert found("nothing of that kind is ever told to any child here") == []
+        # From four words on other names and numbers are found too; shorter items count with their own values only.
+        other = item.replace("Mary", "Susan").replace("Tom", "Old Bill").replace("5", str(rng.randint(20, 99)))
+        assert found(f"they say {other} Good") == ([1] if n >= 4 else []), other

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ebbtide.llm import (
-    chat, decontamination, exact_dedup, jaccard_join, line_dedup, mixing, personal_data, token_counts, toxicity, url_filter,
+    chat, decontamination, exact_dedup, hyperminhash, jaccard_join, line_dedup, mixing, periodic_runs, personal_data, token_counts,
+    toxicity, url_filter,
 )
+from ebbtide.llm.common import REST, running
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LINE = "This line is shared by many documents and it is long enough to count"
@@ -58,7 +60,15 @@ OPERATORS = {
     "exact": exact_dedup.exact_dedup,
     "similar": jaccard_join.jaccard_join,
     "mix": mixing.mix,
+    "runs": periodic_runs.periodic_runs,
+    "near": hyperminhash.near_duplicates,
 }
+#: Names that operators use inside.
+INTERNAL = (
+    REST, "_row", "_any", "_email", "_id", "_new", "_lost", "_cold_key", "_hot_key", "_join_key", "hot_0", "cold_0", "join_0", "_name", "_rank",
+    "_block", "_band", "_n", "_start", "_rate", "_place", "_offset", "_method", "_pages", "_scored", "found", "set", "n", "key", "run", "sid", "label",
+    "copy", "rep", "h",
+)
 
 
 @pytest.mark.parametrize("name", list(OPERATORS))
@@ -73,11 +83,82 @@ def test_empty_tables_and_clashing_columns(spark, docs, name):
     assert OPERATORS[name](docs.limit(0)).collect() == []
     added = [c for c in OPERATORS[name](docs.limit(0)).columns if c not in docs.columns]
     clashing = docs.limit(3)
-    for c in [*added, "_row", "n", "key", "run", "sid"]:
+    for c in [*added, *INTERNAL]:
         clashing = clashing.withColumn(c, F.lit("theirs"))
     out = OPERATORS[name](clashing)
-    assert out.count() == 3 and len(out.columns) == len(set(out.columns))
-    assert {r["key"] for r in out.collect()} == {"theirs"}
+    rows = out.collect()
+    assert len(rows) == 3 and len(out.columns) == len(set(out.columns))
+    theirs = [c for c in INTERNAL if c not in added]
+    assert {r[c] for r in rows for c in theirs} == {"theirs"} and set(docs.columns) <= set(out.columns)
+    kept = lambda found: sorted((str(r["doc_id"]), str(r["lang"]), str(r["source"])) for r in found)
+    assert kept(rows) == kept(clashing.collect())
+
+
+def test_urls_and_chats_with_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/" + "x" * 200_000), (1, None), (None, "http://b.net/")], "page_id long, url string")
+    none = spark.createDataFrame([], "page_id long, bad int")
+    for c in (*INTERNAL, "verdict", "host", "suffix", "domain"):
+        pages = pages.withColumn(c, F.lit("theirs"))
+    out = url_filter.judged_urls(pages, none)
+    rows = out.collect()
+    assert len(rows) == 3 and {r[c] for r in rows for c in (*INTERNAL, "suffix", "domain")} == {"theirs"}
+    assert sorted(len(r["path"]) for r in rows) == [0, 1, 200_001]
+    chats = spark.createDataFrame([(1, "q", "a " * 100_000), (1, "q", "a " * 100_000), (2, None, None)], "conv_id long, prompt string, completion string")
+    for c in ("_print", "held_0", "print_0", "turns_0", "turns_out", "layout"):
+        chats = chats.withColumn(c, F.lit("theirs"))
+    done = chat.formatted_chats(chats)
+    got = done.withColumn("loss", chat.loss_text(F.col("pieces"))).collect()
+    assert sorted(len(r["loss"]) for r in got) == [0, 200_000, 200_000] and {r["turns_out"] for r in got} == {"theirs"}
+    assert [r["layout"] for r in got if r["conv_id"] == 2] == [None] and chat.formatted_chats(chats.limit(0)).count() == 0
+    assert chat.turns_by_conversation(spark.createDataFrame([], "conv_id long, turn int, role string, text string")).count() == 0
+
+
+def test_a_chat_with_a_stray_field_keeps_its_text(spark):
+    rows = [(1, "q", "a", "stray"), (2, "q", "a", None), (3, None, None, "only")]
+    frame = spark.createDataFrame(rows, "conv_id long, prompt string, completion string, input string")
+    got = {r.conv_id: r for r in chat.formatted_chats(frame).withColumn("back", chat.read_back(F.col("formatted"))).collect()}
+    for i in (1, 2):
+        assert [(t.role, t.text) for t in got[i].back] == [("user", "q"), ("assistant", "a")] and got[i].layout == "prompt"
+    assert got[1].unread == ["input"] and got[2].unread == [] and (got[3].layout, got[3].unread, got[3].back) == (None, ["input"], [])
+
+
+def test_one_row_of_each_class_stays(spark):
+    text = "the same eight words stand in this text here"
+    rows = [(1, text), (1, text), (2, text + " too"), (None, text), (None, "quite another text without any id at all"), (5, ""), (5, ""), (None, None),
+            (None, "quite another text without any id at all"), (6, "six other words of its own"), (6, "six more words of another kind")]
+    out = jaccard_join.one_of_each_class(spark.createDataFrame(rows, "doc_id long, text string").withColumn("sid", F.lit("theirs")))
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, text), (None, rows[4][1]), (5, ""), (5, ""), (None, None), rows[9], rows[10]], key=str)
+    assert out.columns == ["doc_id", "text", "sid"]
+
+
+def test_running_results_are_those_of_a_fold(spark):
+    for n in (0, 1, 63, 64, 65, 4097, 5000):
+        values = [(7 * i * i) % 101 for i in range(n)]
+        row = spark.createDataFrame([(values,)], "v array<long>").select(
+            running(F.col("v"), lambda a, b: a + b).alias("s"), running(F.col("v"), F.greatest).alias("m")).first()
+        assert row.s == [sum(values[:i + 1]) for i in range(n)] and row.m == [max(values[:i + 1]) for i in range(n)]
+
+
+def test_personal_data_in_a_very_long_text(spark):
+    """Many entities and a term that gives one away, over a text of 300,000 words; overlapping spans are replaced together."""
+    long = "word " * 150_000 + " quokka jane@corp.com " + "a@b.cd and more of it " * 3_000 + "word " * 130_000
+    rows = [(1, long), (2, "call +4111 1111 1111 1111 now"), (3, "nothing here"), *[(10 + i, f"plain words {i}") for i in range(30)]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in personal_data.personal_data(frame).collect()}
+    assert len(out[1].email) == 3_001 and "quokka" not in out[1].sanitised and out[1].sanitised.count("[EMAIL]") == 3_001
+    assert [long[s.start:s.end] for s in out[1].email[:2]] == ["jane@corp.com", "a@b.cd"] and "@" not in out[1].sanitised
+    assert "1111" not in out[2].sanitised and out[3].sanitised == "nothing here"
+
+
+def test_leaks_in_odd_rows(spark):
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "so Is it so? yes"), (3, "so Is it so? yes"), (None, "is it so")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "Is it so?"), (1, "Is it so?"), (2, None), (3, ""), (4, "?!")], "item_id long, text string")
+    found = decontamination.benchmark_leaks(docs, items).collect()
+    assert sorted((str(r.doc_id), r.item_id) for r in found) == sorted([("3", 1)] * 4 + [("None", 1)] * 2)
+    assert decontamination.benchmark_leaks(docs.limit(0), items).count() == 0
+    assert decontamination.benchmark_leaks(docs, items.limit(0)).count() == 0
+    assert decontamination.without_leaks(docs, items).count() == 2
 
 
 def test_lines_ties_and_missing_ids(docs):
