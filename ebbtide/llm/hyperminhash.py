@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from ebbtide.llm.common import arrow_limits, join_hot, stored, text_or_empty
+from ebbtide.llm.common import arrow_limits, join_hot, packed, stored, text_or_empty, unpacked
 from ebbtide.llm.jaccard_join import WordHashes, _groups, _mixed, _roots, components, shared_counts
 
 THRESHOLD = 0.8
@@ -192,9 +192,12 @@ def _likely_rest(threshold: float) -> Callable:
             label, block, n = np.array(g["label"]), np.array(g["blk"]), len(size)
             near = np.zeros((n, n), bool)
             for i in range(n):
-                near[i] = (label != label[i]) & likely(held[i], held, int(size[i]), size, threshold)
-            if g["cross"][0]:
-                near &= block[:, None] != block[None, :]
+                apart = label[i + 1:] != label[i]
+                if g["cross"][0]:
+                    apart &= block[i + 1:] != block[i]
+                rest = i + 1 + np.flatnonzero(apart)
+                if len(rest):
+                    near[i, rest] = likely(held[i], held[rest], int(size[i]), size[rest], threshold)
             a, b = np.nonzero(near)
             if not len(a):
                 continue
@@ -202,6 +205,7 @@ def _likely_rest(threshold: float) -> Callable:
             first = np.argmax((name[a] == name[b]) & full[a] & full[b], axis=1)
             later = name[a, first] != g["k"][0]
             near[a[later], b[later]] = False
+            near |= near.T
             roots = _roots(near)
             for i in np.flatnonzero(near.any(axis=1)).tolist():
                 yield g["node"][i], xxhash.xxh3_64_intdigest(b"%d %d" % (g["group"][0], roots[i])) - (1 << 63), False
@@ -256,8 +260,10 @@ def _stars(keys: DataFrame, buckets: DataFrame, nodes: DataFrame, threshold: flo
     """Places (node, group, head) of likely pairs of a node and a pivot; a pivot is repeated for each ``STAR`` of its members."""
     met = join_hot(keys, buckets, "k", "n", F.xxhash64("node", F.lit("row"))).where("n > 1 and pivot <> node")
     edges = stored(met.select("node", "pivot").distinct())
-    parts = edges.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / STAR).alias("parts"))
-    dealt = edges.join(parts, "pivot").withColumn("group", F.xxhash64("pivot", F.pmod(F.xxhash64("node"), F.col("parts"))))
+    # A pivot may have a third of all nodes.
+    members = stored(edges.groupBy("pivot").agg(F.count(F.lit(1)).alias("members")))
+    sized = join_hot(edges, members, "pivot", "members", F.xxhash64("node", F.lit("row")))
+    dealt = sized.withColumn("group", F.xxhash64("pivot", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / STAR))))
     heads = dealt.select(F.col("pivot").alias("node"), "group").distinct().withColumn("head", F.lit(True))
     members = dealt.select("node", "group", F.lit(False).alias("head")).unionByName(heads)
     full = members.join(nodes.select("node", "size", "registers"), "node")
@@ -334,10 +340,10 @@ def _set_of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         )
 
 
-def with_components(rows: DataFrame, told: DataFrame, key: str = "sid") -> DataFrame:
+def with_components(rows: DataFrame, told: DataFrame) -> DataFrame:
     """Adds component_id and kept to rows that have a doc_id and a set's name; a set may belong to a third of the rows."""
     spread = F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("row")).cast("binary")))
-    found = join_hot(rows, told.withColumnRenamed("sid", key), key, "copies", spread)
+    found = join_hot(rows, told, "sid", "copies", spread)
     number = F.col("doc_id").cast("long")
     component = F.when(F.col("copies").isNull(), number).otherwise(F.col("component_id"))
     return found.withColumn("component_id", component).withColumn("kept", number.eqNullSafe(F.col("component_id"))).drop("copies")
@@ -353,9 +359,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Columns of ``docs`` with the three names are replaced.
     """
     _, told = near_classes(docs, threshold)
-    base = docs.drop("n_shingles", "component_id", "kept")
-    taken = {c.lower() for c in base.columns}
-    place, key = (next(n for i in range(len(taken) + 1) if (n := f"{stem}_{i}") not in taken) for stem in ("set", "sid"))
-    named = base.select("*", _set_of(text_or_empty().cast("binary")).alias(place))
-    rows = named.select(*[F.col(f"`{c}`") for c in base.columns], F.col(f"{place}.n_shingles").alias("n_shingles"), F.col(f"{place}.sid").alias(key))
-    return with_components(rows, told, key).drop(key)
+    needed = ["doc_id", "text"]
+    named = packed(docs, needed, set=_set_of(text_or_empty().cast("binary")))
+    rows = named.withColumns({"n_shingles": F.col("set.n_shingles"), "sid": F.col("set.sid")}).drop("set")
+    return unpacked(with_components(rows, told), docs, needed, {c: F.col(c) for c in ("n_shingles", "component_id", "kept")})
