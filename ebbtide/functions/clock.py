@@ -88,7 +88,14 @@ def parse_utc(text: Column, day_first: bool = False) -> Column:
     and month could be exchanged, the month comes first; ``day_first`` is for logs in which 02/01/2024 is in January. A day after the
     12th shows by itself which number it is. ``day_order`` decides for a whole log.
     """
-    iso = _iso_text(F.trim(text), day_first)
+    plain = F.trim(text)
+    # ISO is read as it is; only other texts are rewritten, and once for all the places where the rewritten text is needed.
+    usual = (F.substring(plain, 5, 1) == "-") & ~plain.rlike(r" ([AaPp][Mm]|[+-][0-9]{4})$")
+    rewritten = F.transform(F.array(plain), lambda t: _iso_text(t, day_first))
+    return F.when(usual, _iso_instant(plain)).otherwise(F.element_at(F.transform(rewritten, _iso_instant), 1))
+
+
+def _iso_instant(iso: Column) -> Column:
     has_zone = iso.rlike(r":\d{2}(\.\d+)?\s*[A-Za-z+\-]")
     return F.when(has_zone, _utc_clock(iso.try_cast("timestamp"))).otherwise(iso.try_cast("timestamp_ntz"))
 
