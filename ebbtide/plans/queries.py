@@ -14,6 +14,7 @@ from ebbtide.config import (
 )
 from ebbtide.functions.clock import day_order, instant
 from ebbtide.models.importance import boosted_importance, boosted_splits, linear_importance
+from ebbtide.models.leafwise import LeafwiseModel
 from ebbtide.operators import features as feat
 from ebbtide.operators import snapshots as snap
 from ebbtide.operators.activity import activity_filter, counts_with_share, is_activity, month_partitions, with_month
@@ -556,23 +557,34 @@ def run_metadata(spark: SparkSession, folder: str) -> DataFrame:
 # --- fitted models (no SQL form) -----------------------------------------------------
 
 
+#: Where the boosted model of a session and a folder of tables is stored: four queries ask for the same one.
+_FITTED: dict[tuple[str, str], str] = {}
+
+
+def _boosted(spark: SparkSession, folder: str, data: training.TrainingSet | None = None) -> LeafwiseModel:
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _FITTED:
+        path = scratch_folder(spark, "model")
+        training.train_boosted(data or training.training_set(_activity(spark, folder))).save(spark, path)
+        _FITTED[key] = path
+    return LeafwiseModel.load(spark, _FITTED[key])
+
+
 @registered("gbt_scores")
 def boosted_scores(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    return training.train_boosted(data).predict(data.test, [ID, HORIZON.target])
+    return _boosted(spark, folder, data).predict(data.test, [ID, HORIZON.target])
 
 
 @registered("gbt_importance")
 def boosted_feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    data = training.training_set(_activity(spark, folder))
-    return training.train_boosted(data).importance(spark)
+    return _boosted(spark, folder).importance(spark)
 
 
 @registered("gbt_rounds")
 def boosted_rounds(spark: SparkSession, folder: str) -> DataFrame:
     """The area under the curve after each round, which decides how many trees stay."""
-    data = training.training_set(_activity(spark, folder))
-    return training.train_boosted(data).rounds(spark)
+    return _boosted(spark, folder).rounds(spark)
 
 
 @registered("level_wise_scores")
@@ -603,4 +615,4 @@ def linear_feature_importance(spark: SparkSession, folder: str) -> DataFrame:
 @registered("gbt_rolling_eval")
 def model_rolling_eval(spark: SparkSession, folder: str) -> DataFrame:
     data = training.training_set(_activity(spark, folder))
-    return training.evaluate(training.train_boosted(data), data)
+    return training.evaluate(_boosted(spark, folder, data), data)
