@@ -65,12 +65,7 @@ def canonical(run: str, starts: bool) -> tuple[str, str]:
     return ("name" if word[0].isupper() and not starts else ""), small
 
 
-def _code(kind: str, word: str) -> int:
-    return 0 if not word else _MARK[kind] if kind else xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")) | 1
-
-
 _KINDS = ("", "number", "unit", "name")
-_PLAIN = re.compile(rb"[a-z]+")
 
 
 class Templates(dict):
@@ -90,32 +85,54 @@ class Templates(dict):
             column = getattr(self, name)
             setattr(self, name, np.concatenate([column, np.zeros_like(column)]))
 
-    def __missing__(self, run: bytes) -> int:
-        if self.n == len(self.inside):
+    def learn(self, runs: list[bytes]) -> None:
+        """Gives the runs row numbers; their codes are written together."""
+        while self.n + len(runs) > len(self.inside):
             self._grow()
-        i = self.n
-        if _PLAIN.fullmatch(run) and run.decode() not in UNITS:
-            # Most runs: small letters only, the same everywhere.
-            self.inside[i] = self.first[i] = self.value[i] = xxhash.xxh3_64_intdigest(run) | 1
-            self.kind_inside[i] = self.kind_first[i] = 0
-            self.ends[i] = False
-        else:
-            text = run.decode("utf-8", "replace")
-            inside, first = canonical(text, False), canonical(text, True)
-            self.inside[i], self.first[i], self.value[i] = _code(*inside), _code(*first), _code("", first[1])
-            self.kind_inside[i], self.kind_first[i] = _KINDS.index(inside[0]), _KINDS.index(first[0])
-            self.ends[i] = run.endswith(_ENDS)
-        self.n += 1
-        if len(run) <= CACHED_BYTES:
-            self[run] = i
-        return i
+        facts = list(zip(*map(_facts, runs)))
+        rows = slice(self.n, self.n + len(runs))
+        for name, column in zip(("inside", "first", "value", "kind_inside", "kind_first", "ends"), facts):
+            getattr(self, name)[rows] = np.array(column, getattr(self, name).dtype)
+        self.update(zip(runs, range(self.n, self.n + len(runs))))
+        self.n += len(runs)
 
     def text(self, text: bytes) -> Text:
         """The runs of a text and what their codes are."""
         if self.n > CACHE_WORDS:
             self._reset()
         runs = text.split()
-        return Text(self, runs, np.fromiter(map(self.__getitem__, runs), np.int64, len(runs)))
+        try:
+            at = np.fromiter(map(self.__getitem__, runs), np.int64, len(runs))
+        except KeyError:
+            missed = list({r for r in runs if r not in self})
+            self.learn(missed)
+            at = np.fromiter(map(self.__getitem__, runs), np.int64, len(runs))
+            for run in missed:
+                if len(run) > CACHED_BYTES:
+                    del self[run]
+        return Text(self, runs, at)
+
+
+_UNIT_RUNS = frozenset(u.encode() for u in UNITS)
+_FIRST_OF_NUMBERS = frozenset("+-$€£0123456789")
+
+
+def _facts(run: bytes) -> tuple[int, int, int, int, int, bool]:
+    """Code inside a sentence and at its start, hash of the value, kind inside and at the start, whether it ends a sentence."""
+    if run.isalpha() and run.islower() and run not in _UNIT_RUNS:
+        # Most runs: small ASCII letters only, the same everywhere.
+        h = xxhash.xxh3_64_intdigest(run) | 1
+        return h, h, h, 0, 0, False
+    word, ends = run.decode("utf-8", "replace").strip(_EDGES), run.endswith(_ENDS)
+    if not word:
+        return 0, 0, 0, 0, 0, ends
+    small = word.lower()
+    h = xxhash.xxh3_64_intdigest(small.encode("utf-8", "replace")) | 1
+    if (small[0] in _FIRST_OF_NUMBERS or small[0].isdecimal()) and _NUMBER.fullmatch(small):
+        return _MARK["number"], _MARK["number"], h, 1, 1, ends
+    if small in UNITS:
+        return _MARK["unit"], _MARK["unit"], h, 2, 2, ends
+    return (_MARK["name"], h, h, 3, 0, ends) if word[0].isupper() else (h, h, h, 0, 0, ends)
 
 
 class View:
@@ -151,7 +168,7 @@ class View:
 
 
 #: How texts are read: capitals at a sentence's start as words or as names, and neighbouring slots of one kind apart or as one.
-READINGS = ((False, False), (False, True), (True, True))
+READINGS = ((False, False), (True, True))
 
 
 @dataclass
@@ -165,15 +182,22 @@ class Text:
 
 
 def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
-    n = len(hashes) - length + 1
-    if n <= 0:
+    """A polynomial over each ``length`` neighbours, built from those of half the length."""
+    if len(hashes) < length:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for k in range(length):
-        out = out * _BASE + hashes[k:k + n]
+    out = _polynomials(hashes, length)
     return (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def _polynomials(hashes: np.ndarray, length: int) -> np.ndarray:
+    if length == 1:
+        return hashes
+    half = length // 2
+    low, n = _polynomials(hashes, half), len(hashes) - length + 1
+    out = low[:n] * np.uint64(pow(int(_BASE), half, 1 << 64)) + low[half:half + n]
+    return out if length % 2 == 0 else out * _BASE + hashes[length - 1:length - 1 + n]
+
+
 class Benchmark:
     """The build side: window hashes in order, each with its item and place, by reading, window length and whether values are hashed."""
 
@@ -214,9 +238,7 @@ class Benchmark:
         some = np.convolve(speaks, np.ones(length, np.int64), "valid") > 0
         # What has fewer words than half a window is told by its values alone.
         short = 2 * length < self.window
-        # In the plainest reading all windows are told by their values too, so a copy in small letters is found.
-        valued = np.ones_like(enough) if reading == 0 else ~enough | short
-        for exact, codes, wanted in ((False, view.codes, (enough | some) & (not short)), (True, view.values, valued)):
+        for exact, codes, wanted in ((False, view.codes, (enough | some) & (not short)), (True, view.values, ~enough | short)):
             own = window_hashes(codes, length)
             for place in np.flatnonzero(wanted).tolist():
                 rows.setdefault((reading, length, exact), []).append((int(own[place]), number, place))
@@ -413,11 +435,10 @@ def benchmark_leaks(
     """One row per document row and item found in it: doc_id, item_id, words_found, share, kind (same, changed), start, end.
 
     Every item with a word is searched. Items shorter than a window are found as a whole, those of fewer words than half a window with their own
-    values only (a single word wherever it stands). Texts are read in three ways: capitals at the start of a sentence as words
-    or as names, and slots of one kind side by side apart or as one, so a name may become one of more words. An item counts where
+    values only (a single word wherever it stands). Texts are read in two ways: capitals at the start of a sentence as words and
+    slots of one kind side by side apart, or as names and as one, so a name may become one of more words. An item counts where
     at least ``share`` of its words or ``long_run`` words are covered. Verbatim runs of an alignment with inconsistent slots count towards
-    ``long_run`` only. Alignments with few words and few repeated slots are found with the item's values only. Capitals don't matter in
-    an item's own values.
+    ``long_run`` only. Alignments with few words and few repeated slots are found with the item's values only.
     Null texts hold nothing, as documents and as items; repeated rows are searched each, repeated items are found each.
     """
     arrow_limits(docs.sparkSession)

